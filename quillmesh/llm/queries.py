@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quillmesh.llm import mixing
 from quillmesh.llm import secret_scan as secrets
+from quillmesh.llm.exact_dedup import exact_dedup
 from quillmesh.llm.quality_rules import MAX_REPEATED_PERCENT, MIN_WORDS, LineLimits, quality_rules
 
 
@@ -14,6 +17,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(documents(spark, sf_dir))
+    return found.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", "taken")
+
+
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, verdicts = exact_dedup(documents(spark, sf_dir))
+    return verdicts.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules(documents(spark, sf_dir))
     return found.select(
@@ -26,6 +39,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_entropy_mix": op1_entropy_mix,
+    "op2_exact_dedup": op2_exact_dedup,
     "op4_line_frequency": op4_line_frequency,
     "op10_secret_scan": op10_secret_scan,
 }
@@ -91,6 +106,11 @@ def secret_sql(limits: secrets.Ownership = secrets.Ownership()) -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_exact_dedup": """WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+    g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS n FROM d GROUP BY t)
+    SELECT doc_id, keep_id, n AS group_size,
+        row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST, rid DESC) = 1 AS kept, sha256(t) AS text_sha256
+    FROM d JOIN g USING (t)""",
     "op4_line_frequency": f"""WITH {quality_sql()}
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, removed_words, kept FROM verdict""",
     "op10_secret_scan": secret_sql(),
