@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmesh.llm import mixing
+from quillmesh.llm import _linear, language_id, mixing, pairwise_quality
 from quillmesh.llm import secret_scan as secrets
+from quillmesh.llm.bpe_chunks import digests, encode
 from quillmesh.llm.exact_dedup import exact_dedup
+from quillmesh.llm.html_extract import extract_pages
 from quillmesh.llm.quality_rules import MAX_REPEATED_PERCENT, MIN_WORDS, LineLimits, quality_rules
 
 
@@ -17,6 +19,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mix(documents(spark, sf_dir))
     return found.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", "taken")
@@ -27,6 +35,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules(documents(spark, sf_dir))
     return found.select(
@@ -34,6 +46,24 @@ def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language_id.fit(docs.filter(_linear.learnable(F.col("doc_id"))))
+    found = language_id.predict(docs, model)
+    return found.select("doc_id", _linear.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op8_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(encode(documents(spark, sf_dir), tokenizer_path()))
+
+
+def op9_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(_linear.learnable(F.col("doc_id")))
+    found = pairwise_quality.score(docs, pairwise_quality.fit(docs, labels))
+    return found.select("doc_id", _linear.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(documents(spark, sf_dir))
 
@@ -41,7 +71,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_entropy_mix": op1_entropy_mix,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_html_extract": op3_html_extract,
     "op4_line_frequency": op4_line_frequency,
+    "op5_language_id": op5_language_id,
+    "op8_bpe_chunks": op8_bpe_chunks,
+    "op9_pairwise_quality": op9_pairwise_quality,
     "op10_secret_scan": op10_secret_scan,
 }
 
