@@ -12,6 +12,7 @@ from quillmesh.llm import secret_scan as secrets
 from quillmesh.llm.bpe_chunks import digests, encode
 from quillmesh.llm.exact_dedup import exact_dedup
 from quillmesh.llm.html_extract import extract_pages
+from quillmesh.llm.jaccard_join import Similarity, jaccard_components
 from quillmesh.llm.quality_rules import MAX_REPEATED_PERCENT, MIN_WORDS, LineLimits, quality_rules
 
 
@@ -53,6 +54,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", _linear.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, classes = jaccard_components(documents(spark, sf_dir), Similarity(words=3, num=90, den=100, cells=3))
+    return classes.select("doc_id", "n_shingles", "component_id")
+
+
 def op8_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode(documents(spark, sf_dir), tokenizer_path()))
 
@@ -74,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_html_extract": op3_html_extract,
     "op4_line_frequency": op4_line_frequency,
     "op5_language_id": op5_language_id,
+    "op6_jaccard_join": op6_jaccard_join,
     "op8_bpe_chunks": op8_bpe_chunks,
     "op9_pairwise_quality": op9_pairwise_quality,
     "op10_secret_scan": op10_secret_scan,
