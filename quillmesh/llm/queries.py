@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmesh import scratch
 from quillmesh.llm import _linear, language_id, mixing, pairwise_quality
 from quillmesh.llm import secret_scan as secrets
 from quillmesh.llm.bpe_chunks import digests, encode
 from quillmesh.llm.exact_dedup import exact_dedup
 from quillmesh.llm.html_extract import extract_pages
 from quillmesh.llm.jaccard_join import Similarity, jaccard_components
+from quillmesh.llm.sharding import ShardStore
 from quillmesh.llm.quality_rules import MAX_REPEATED_PERCENT, MIN_WORDS, LineLimits, quality_rules
 
 
@@ -59,6 +61,13 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "n_shingles", "component_id")
 
 
+def op7_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = ShardStore(spark, scratch.new_path(spark, "shards"))
+    schema = documents(spark, sf_dir).schema
+    store.ingest(f"{sf_dir}/documents.parquet", schema, files_per_arrival=8, checkpoint=scratch.new_path(spark, "arrivals"))
+    return store.located("doc_id")
+
+
 def op8_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode(documents(spark, sf_dir), tokenizer_path()))
 
@@ -81,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_frequency": op4_line_frequency,
     "op5_language_id": op5_language_id,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_compaction": op7_compaction,
     "op8_bpe_chunks": op8_bpe_chunks,
     "op9_pairwise_quality": op9_pairwise_quality,
     "op10_secret_scan": op10_secret_scan,
