@@ -399,8 +399,8 @@ def _link_all(ranked: DataFrame, links: _Links) -> None:
 
 
 def jaccard_components(docs: DataFrame, kind: Similarity = Similarity(), doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(located docs, classes): the classes have row, doc_id, n_shingles, component_id for every row; the docs carry the
-    same locator in ``__qm_row``."""
+    """(located docs, classes): the classes have row, doc_id, n_shingles, component_id and class_key (null for a
+    document without links) for every row; the docs carry the same locator in ``__qm_row``."""
     located = scratch.with_row_locator(docs)
     rows = located.select(F.col(doc_id).alias("doc_id"), F.col("__qm_row").alias("row"), F.col(text).alias("text"))
     kinds = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in ("doc_id", "row"))
@@ -432,9 +432,27 @@ def jaccard_components(docs: DataFrame, kind: Similarity = Similarity(), doc_id:
     labelled = nodes.select("node", "least_id", "copies").join(links.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     labelled = scratch.table(labelled, "join-labelled")
     least = labelled.groupBy("label").agg(F.min("least_id").alias("component"), F.sum("copies").alias("members")).filter("members > 1")
-    named = labelled.join(least, "label").select(F.col("node").alias("named"), "component")
+    named = labelled.join(least, "label").select(F.col("node").alias("named"), "component", "label")
     named = scratch.bounded(scratch.table(named, "join-named"))
-    classes = sets.select("row", "doc_id", "n", "node").join(named, F.col("node") == F.col("named"), "left").select(
-        "row", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("named").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id")
+    alone = F.col("named").isNull()
+    classes = sets.select("row", "doc_id", "n", "node").join(named, F.col("node") == F.col("named"), "left")
+    classes = classes.select(
+        "row",
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
+        F.col("label").alias("class_key"),
     )
     return located, classes
+
+
+def without_near_duplicates(docs: DataFrame, kind: Similarity = Similarity(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without links and, of each class, the one with the smallest id (the first by locator of
+    rows that repeat it), with the columns of ``docs``."""
+    located, classes = jaccard_components(docs, kind, doc_id, text)
+    linked = scratch.table(classes.filter("class_key is not null").select("class_key", "doc_id", "row"), "join-linked")
+    first = linked.groupBy("class_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+    gone = linked.join(first.select(F.col("first.row").alias("stays")), F.col("row") == F.col("stays"), "left_anti")
+    gone = scratch.bounded(scratch.table(gone.select(F.col("row").alias("gone")), "join-gone"))
+    stay = located.join(gone, F.col("__qm_row") == F.col("gone"), "left_anti")
+    return stay.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -43,10 +43,10 @@ class LineLimits:
     min_left: float = 0.3
 
 
-def _base(docs: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:
+def _base(docs: DataFrame, doc_id: str, text: str, host: str, row: Column) -> DataFrame:
     """One row per document: its counts and its lines as (hash, words); projections only, no shuffle."""
     whole = _text.whole(F.col(text))
-    d = docs.select(F.col(doc_id).alias("doc_id"), F.col(host).alias("host"), whole.alias("text"))
+    d = docs.select(row.alias("row"), F.col(doc_id).alias("doc_id"), F.col(host).alias("host"), whole.alias("text"))
     d = d.select(
         "*",
         _text.words(F.col("text")).alias("w"),
@@ -55,6 +55,7 @@ def _base(docs: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:
     size = F.size("w")
     cut = lambda k: F.slice(F.col("w"), F.lit(k), F.greatest(size - 2, F.lit(0)))
     d = d.select(
+        "row",
         "doc_id",
         "host",
         F.xxhash64("text", F.length("text")).alias("text_key"),
@@ -96,9 +97,11 @@ def quality_rules(
     text: str = "text",
     host: str = "source",
     limits: LineLimits = LineLimits(),
+    row: str | None = None,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, the base counts, base_failed, removed_words, kept."""
-    base = _base(docs, doc_id, text, host).withColumn("row", F.monotonically_increasing_id())
+    """One row per row of ``docs``: row, doc_id, n_words, the base counts, base_failed, removed_words, kept. ``row`` names
+    a column that tells rows apart; without one, rows are numbered."""
+    base = _base(docs, doc_id, text, host, F.col(row) if row else F.monotonically_increasing_id())
     slim = scratch.table(base, "quality-base")
 
     held = slim.select("row", "doc_id", "host", "text_key", F.explode("lines").alias("l")).select(
@@ -140,3 +143,12 @@ def quality_rules(
             (~failed & (left >= F.lit(limits.min_left) * F.col("n_words"))).alias("kept"),
         )
     )
+
+
+def passing(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", limits: LineLimits = LineLimits()) -> DataFrame:
+    """The rows of ``docs`` that pass, with the columns of ``docs`` and their texts as they were."""
+    located = scratch.with_row_locator(docs)
+    verdicts = quality_rules(located, doc_id, text, host, limits, row="__qm_row")
+    gone = scratch.table(verdicts.filter("not kept").select(F.col("row").alias("gone")), "quality-gone")
+    stay = located.join(scratch.bounded(gone), F.col("__qm_row") == F.col("gone"), "left_anti")
+    return stay.select(*[F.col(f"`{c}`") for c in docs.columns])

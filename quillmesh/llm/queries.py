@@ -156,6 +156,22 @@ def secret_sql(limits: secrets.Ownership = secrets.Ownership()) -> str:
     FROM d LEFT JOIN a USING (rid)"""
 
 
+def jaccard_sql(words: int = 3, num: int = 90, den: int = 100) -> str:
+    """All pairs with a shingle in common, then components by reachability."""
+    lowered = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""WITH RECURSIVE
+    d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({lowered}, '{_W}') AS w FROM documents),
+    s AS (SELECT DISTINCT rid, array_to_string(w[i:i + {words - 1}], ' ') AS x
+        FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - {words - 2}, 2))) AS i FROM d WHERE len(w) > 0)),
+    n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+    p AS (SELECT a.rid AS a, b.rid AS b, count(*) AS i FROM s a JOIN s b ON a.x = b.x AND a.rid < b.rid GROUP BY a.rid, b.rid),
+    l AS (SELECT a, b FROM p JOIN n AS na ON na.rid = a JOIN n AS nb ON nb.rid = b WHERE {den} * i >= {num} * (na.n + nb.n - i)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r(a, b) AS (SELECT rid, rid FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+    c AS (SELECT r.a AS rid, min(doc_id) AS component_id FROM r JOIN d ON d.rid = r.b GROUP BY r.a)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM d LEFT JOIN n USING (rid) JOIN c USING (rid)"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": """WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
     g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS n FROM d GROUP BY t)
@@ -164,5 +180,6 @@ ORACLE_SQL: dict[str, str] = {
     FROM d JOIN g USING (t)""",
     "op4_line_frequency": f"""WITH {quality_sql()}
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, removed_words, kept FROM verdict""",
+    "op6_jaccard_join": jaccard_sql(),
     "op10_secret_scan": secret_sql(),
 }
