@@ -206,12 +206,12 @@ class Session:
     def step(self) -> None:
         """One turn, unless a limit ends the session first."""
         limits = self.config.limits
-        if limits.timeout is not None and self.elapsed > limits.timeout:
-            self.status = errors.TimeExceeded.status
-            return
         if self.turn >= limits.max_turns:
             self._last_call()
             return
+        if limits.timeout is not None and self.elapsed > limits.timeout:
+            self.status = errors.TimeExceeded.status
+            return
         self._tell("iteration_start", {"turn": self.turn})
         began = time.monotonic()
         self._compact()

@@ -68,7 +68,9 @@ def trajectories(lines: DataFrame, run: str = "file") -> DataFrame:
     """One row a run: its metadata (null fields if it has none) and its iterations in order."""
     each = iterations(lines, run)
     item = F.struct("completion_no", *ITERATION_COLUMNS)
-    gathered = each.groupBy(run).agg(F.sort_array(F.collect_list(F.struct("completion_no", "iteration", item.alias("it")))).alias("i"))
+    place = lambda x: F.struct(x["completion_no"], x["iteration"])
+    order = lambda x, y: F.when(place(x) < place(y), -1).when(place(x) > place(y), 1).otherwise(0)
+    gathered = each.groupBy(run).agg(F.array_sort(F.collect_list(item), order).alias("i"))
     told = run_metadata(lines, run)
     joined = gathered.join(told, run, "full")
-    return joined.select(run, *METADATA_COLUMNS, F.coalesce(F.transform("i", lambda x: x["it"]), F.array()).alias("iterations"))
+    return joined.select(run, *METADATA_COLUMNS, F.coalesce("i", F.array().cast(gathered.schema["i"].dataType)).alias("iterations"))
