@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillmesh.llm._worker import releasing
+
 #: Characters handled at a time, so that a very long text needs no more memory than this many.
 PIECE = 1 << 20
 
@@ -48,15 +50,17 @@ def letter_profile(text: str, dim: int, longest: int = 3) -> np.ndarray | None:
         points = code_points(text[at : at + PIECE].lower())
         alpha = _letters()[points]
         seen = seen or bool(alpha.any())
+        carried = len(before)
         run = np.concatenate([before, np.where(alpha, points, np.uint32(32)), np.array([32], np.uint32)[: at + PIECE >= len(text)]])
         blank = run == 32
         run = run[~(blank & np.concatenate([[False], blank[:-1]]))]
         for n in range(1, longest + 1):
-            if len(run) < n:
+            new = run[max(0, carried - n + 1) :]  # n-grams that end in this piece
+            if len(new) < n:
                 continue
-            h = run[: len(run) - n + 1].copy()
+            h = new[: len(new) - n + 1].copy()
             for k in range(1, n):
-                h = h * np.uint32(0x01000193) + run[k : len(run) - n + 1 + k]
+                h = h * np.uint32(0x01000193) + new[k : len(new) - n + 1 + k]
             h = (h + np.uint32(n * 0x51ED270B)) * np.uint32(0x9E3779B1)
             counts += np.bincount((h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA6B) >> shift, minlength=dim)
         before = run[-(longest - 1) :] if longest > 1 else run[:0]
@@ -73,7 +77,7 @@ def collect_features(sample: DataFrame, features: Callable[[str], np.ndarray | N
             yield pa.RecordBatch.from_arrays([batch.column(label), pa.array(packed, pa.binary())], [label, "x"])
 
     kind = sample.schema[label].dataType.simpleString()
-    rows = [r for r in sample.select("text", label).mapInArrow(run, f"{label} {kind}, x binary").collect() if r["x"] is not None]
+    rows = [r for r in sample.select("text", label).mapInArrow(releasing(run), f"{label} {kind}, x binary").collect() if r["x"] is not None]
     rows.sort(key=lambda r: (str(r[label]), bytes(r["x"])))  # the same fit whatever order the rows came in
     if not rows:
         return [], np.empty((0, 0), np.float32)

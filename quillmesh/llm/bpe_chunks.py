@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with content-defined chunk reuse.
 
 A rolling hash over the bytes cuts every text into content-defined chunks, so that
-passages shared by documents are cut alike wherever they stand. A worker encodes
+passages shared by documents are cut alike wherever they stand. A task encodes
 each distinct chunk once and decodes it once. Cutting at arbitrary places is wrong
 around the cuts, so the joins are repaired: a place between a character that isn't
 white space and a blank always parts two pre-tokens, whatever stands around it,
@@ -12,7 +12,7 @@ encoded anew as one piece; a chunk without such a place joins its neighbours.
 The vocabulary is that of the given tokenizer file. Plain Latin text is encoded by
 tiktoken from the same merges, everything else by the tokenizers library itself.
 
-Scale: one pass over the documents with no shuffle; the chunks that a worker remembers
+Scale: one pass over the documents with no shuffle; the chunks that a task remembers
 are bounded in bytes, and forgetting costs time, not correctness. The whole text of a
 document is encoded, in output batches bounded in bytes.
 
@@ -32,10 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillmesh.llm._worker import releasing
+
 #: A cut falls after a byte whose hash of the last WINDOW bytes ends in CUT_BITS zeros: chunks of 512 bytes on average.
 WINDOW, CUT_BITS = 16, 9
-#: Bytes of chunk text a worker remembers, and bytes of text in an output batch.
-REMEMBERED = 16 << 20
+#: Bytes of chunk text a task remembers, and bytes of text in an output batch.
+REMEMBERED = 4 << 20
 BATCH_BYTES = 8 << 20
 
 _GEAR = np.random.default_rng(20_240_229).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -125,12 +127,15 @@ class Codec:
             else:
                 known = (text, None, b"", "")
             if self._held > REMEMBERED:
-                self._chunks.clear()
-                self._held = 0
+                self.forget()
             self._chunks[data] = known
             self._held += len(data)
         return known
 
+    def forget(self) -> None:
+        self._chunks.clear()
+        self._held = 0
+
     def encode(self, text: str) -> tuple[np.ndarray, bytes]:
         """The ids of a whole text and the bytes that they decode to."""
         ids: list[np.ndarray] = []
@@ -165,13 +170,14 @@ class Codec:
 
 @lru_cache(maxsize=2)
 def codec(tokenizer_json: str) -> Codec:
-    """One per worker process, so that chunks are shared by all that it encodes."""
+    """One per worker process; the chunks are those of a task."""
     return Codec(tokenizer_json)
 
 
 def _batches(tokenizer_json: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(tokenizer_json)
+        coder.forget()
         for batch in batches:
             start, held, ids, texts = 0, 0, [], []
             for k, text in enumerate(batch.column("text")):
@@ -186,8 +192,9 @@ def _batches(tokenizer_json: str) -> Callable[[Iterator[pa.RecordBatch]], Iterat
                         [batch.column("doc_id").slice(start, len(ids)), lists, pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"]
                     )
                     start, held, ids, texts = k + 1, 0, [], []
+        coder.forget()
 
-    return run
+    return releasing(run)
 
 
 def encode(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

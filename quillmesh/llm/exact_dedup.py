@@ -20,10 +20,9 @@ rows that repeat that id the last by locator; other columns pass through or are
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmesh import scratch
@@ -32,7 +31,7 @@ from quillmesh.llm import _text
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "2",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
@@ -45,18 +44,6 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-@contextmanager
-def _conf(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    before = {k: spark.conf.get(k, None) for k in values}
-    for k, v in values.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def stream_state(arrivals: DataFrame, files_per_batch: int | None = None) -> DataFrame:
     """Streams a written table of (digest, doc_id, row) through the keyed state, as many files at a time as told (all
     at once if None); returns digest, n and keep (doc_id, row) of the digests that came more than once."""
@@ -79,7 +66,7 @@ def stream_state(arrivals: DataFrame, files_per_batch: int | None = None) -> Dat
         batch.filter("n > 1").write.mode("overwrite").parquet(f"{updates}/{number}")
         batches.append(f"{updates}/{number}")
 
-    with _conf(spark, ROCKSDB):
+    with scratch.conf(spark, ROCKSDB):
         query = (
             state.writeStream.outputMode("update")
             .option("checkpointLocation", scratch.new_path(spark, "dedup-state"))

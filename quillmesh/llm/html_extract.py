@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillmesh.llm._worker import releasing
+
 #: Lines in a window, and the least sum that is a surge on a page without marked article.
 WINDOW = 3
 SURGE = 80
@@ -267,4 +269,4 @@ def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     """One row per row of ``pages``: page_id, url, text, n_chars."""
     slim = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
     kinds = ", ".join(f"{n} {slim.schema[n].dataType.simpleString()}" for n in ("page_id", "url"))
-    return slim.mapInArrow(_extracted, f"{kinds}, text string").withColumn("n_chars", F.length("text").cast("long"))
+    return slim.mapInArrow(releasing(_extracted), f"{kinds}, text string").withColumn("n_chars", F.length("text").cast("long"))

@@ -49,6 +49,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmesh import scratch
+from quillmesh.llm._worker import BATCH, releasing
 from quillmesh.llm.components import components
 
 #: Parts beyond the least number, as a share of it; signatures of up to FEW shingles are left out where a set can.
@@ -61,7 +62,7 @@ SMALL, LEADERS, GROWTH = 16, 4, 4
 PIECE = 1 << 20
 #: A shingle is frequent from so many sets on, as far as blocks of BLOCK shingles show it LOCAL times or more; at most
 #: FREQUENT of them are known to all workers, as a bitmap of MAP_BITS bits.
-SPREAD, LOCAL, BLOCK, FREQUENT, MAP_BITS = 100, 4, 1 << 22, 1 << 20, 1 << 25
+SPREAD, LOCAL, BLOCK, FREQUENT, MAP_BITS = 100, 4, 1 << 21, 1 << 20, 1 << 25
 
 _U = np.uint64
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -264,7 +265,7 @@ def _sets(kind: Similarity) -> Callable:
         if block:
             yield _set_rows([k.slice(0, 1) for k in keys], [-1], [None], [None], [often()])
 
-    return run
+    return releasing(run)
 
 
 def _set_rows(keys: list, n: list, node: list, node2: list, often: list) -> pa.RecordBatch:
@@ -290,7 +291,7 @@ def _signed_sets(kind: Similarity, frequent: Broadcast) -> Callable:
                 if nodes:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sigs))], ["node", "sig"])
 
-    return run
+    return releasing(run)
 
 
 def frequent_shingles(sets: DataFrame) -> Broadcast:
@@ -313,7 +314,7 @@ def _hashes(kind: Similarity) -> Callable:
                 columns["hashes"] = pa.array([_signed(h) for h in rows], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return run
+    return releasing(run)
 
 
 def _memberships(each: DataFrame) -> DataFrame:
@@ -401,6 +402,11 @@ def _link_all(ranked: DataFrame, links: _Links) -> None:
 def jaccard_components(docs: DataFrame, kind: Similarity = Similarity(), doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(located docs, classes): the classes have row, doc_id, n_shingles, component_id and class_key (null for a
     document without links) for every row; the docs carry the same locator in ``__qm_row``."""
+    with scratch.conf(docs.sparkSession, BATCH):
+        return _jaccard_components(docs, kind, doc_id, text)
+
+
+def _jaccard_components(docs: DataFrame, kind: Similarity, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
     located = scratch.with_row_locator(docs)
     rows = located.select(F.col(doc_id).alias("doc_id"), F.col("__qm_row").alias("row"), F.col(text).alias("text"))
     kinds = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in ("doc_id", "row"))

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmesh.llm import _linear
+from quillmesh.llm._worker import releasing
 
 DIM = 4096
 UNDETERMINED = "und"
@@ -115,4 +116,4 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
 
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = slim.schema["doc_id"].dataType.simpleString()
-    return slim.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, ambiguous boolean")
+    return slim.mapInArrow(releasing(run), f"doc_id {kind}, lang_pred string, score double, ambiguous boolean")

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmesh.llm import _linear
+from quillmesh.llm._worker import releasing
 
 CUT = 0.3
 PROFILE_DIM = 512
@@ -168,5 +169,5 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = slim.schema["doc_id"].dataType.simpleString()
-    scored = slim.mapInArrow(run, f"doc_id {kind}, score double")
+    scored = slim.mapInArrow(releasing(run), f"doc_id {kind}, score double")
     return scored.withColumn("predicted", (F.col("score") >= CUT).cast("int"))

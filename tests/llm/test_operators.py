@@ -1,0 +1,469 @@
+"""Each operator on small tables with every awkward case, against brute force where there is no SQL."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from quillmesh import scratch
+from quillmesh.llm import bpe_chunks, exact_dedup, html_extract, jaccard_join, language_id, mixing, pairwise_quality, queries, secret_scan
+from quillmesh.llm.components import components
+from quillmesh.llm.quality_rules import LineLimits, passing, quality_rules
+from quillmesh.llm.sharding import ShardStore
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+#: Extra columns whose names the operators use themselves.
+CLASH = "row string, kept string, size string, text_key string, node string, n string, copies string, __x string"
+
+
+def documents(spark, rows, clash=True):
+    full = [(i, t, lang, source, len(t or "")) for i, t, lang, source in rows]
+    df = spark.createDataFrame(full, DOCS)
+    if clash:
+        for c in CLASH.split(", "):
+            df = df.withColumn(c.split()[0], F.lit("z"))
+    return df
+
+
+LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(60_000))
+AWKWARD = [
+    (1, None, "en", "a"),
+    (2, "", "en", "a"),
+    (3, " \t\n ", None, None),
+    (4, LONG, "en", None),
+    (5, "same text here " * 20, "fr", "b"),
+    (6, "same text here " * 20, "fr", "b"),
+    (6, "same text here " * 20, "fr", "b"),
+    (None, "no id but words", "de", "c"),
+    (None, None, None, "c"),
+    (9, "one", "de", "c"),
+]
+
+OPERATORS = {
+    "mix": lambda s, d: mixing.mix(d),
+    "mixed": lambda s, d: mixing.mixed_documents(d),
+    "dedup": lambda s, d: exact_dedup.exact_dedup(d)[1],
+    "deduped": lambda s, d: exact_dedup.without_duplicates(d),
+    "rules": lambda s, d: quality_rules(d),
+    "passing": lambda s, d: passing(d),
+    "language": lambda s, d: language_id.predict(d, language_id.fit(d)),
+    "jaccard": lambda s, d: jaccard_join.jaccard_components(d)[1],
+    "near": lambda s, d: jaccard_join.without_near_duplicates(d),
+    "bpe": lambda s, d: bpe_chunks.digests(bpe_chunks.encode(d, queries.tokenizer_path())),
+    "quality": lambda s, d: pairwise_quality.score(d, pairwise_quality.fit(d, s.createDataFrame([(4, 1), (9, 0), (5, None), (None, 1)], "doc_id bigint, quality int"))),
+    "secrets": lambda s, d: secret_scan.secret_scan(d),
+}
+FILTERS = {"mixed", "deduped", "passing", "near"}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_awkward_rows(spark, name):
+    docs = documents(spark, AWKWARD)
+    got = OPERATORS[name](spark, docs)
+    rows = got.collect()
+    if name in FILTERS:
+        assert got.columns == docs.columns
+    else:
+        assert len(rows) == len(AWKWARD)
+        assert Counter(r["doc_id"] for r in rows) == Counter(r[0] for r in AWKWARD)
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_empty_table(spark, name):
+    assert OPERATORS[name](spark, documents(spark, [], clash=False)).collect() == []
+
+
+# 1
+
+
+@given(st.lists(st.integers(0, 1000), min_size=1, max_size=12))
+@settings(max_examples=4, deadline=None)
+def test_targets_by_resharing(spark, sizes):
+    df = spark.createDataFrame([(f"s{i:02d}" if i else None, n) for i, n in enumerate(sizes)], "source string, source_size bigint")
+    got = {r["source"]: r["target"] for r in mixing.source_targets(df).collect()}
+    names = sorted((k for k in got if k is not None)) + [None] * (None in got)
+    size = {f"s{i:02d}" if i else None: n for i, n in enumerate(sizes)}
+    weight = {k: (3, 1, 2)[i % 3] for i, k in enumerate(names)}
+    left, open_, want = 1.5 * sum(sizes), set(names), {}
+    while open_:  # share, stop what is over, reshare
+        share = {k: left * weight[k] / sum(weight[j] for j in open_) for k in open_}
+        over = {k for k in open_ if share[k] > 2 * size[k] + 1e-9}
+        if not over:
+            want |= share
+            break
+        want |= {k: 2.0 * size[k] for k in over}
+        left -= sum(2 * size[k] for k in over)
+        open_ -= over
+    assert got == pytest.approx(want, abs=1e-6)
+
+
+def test_mix_comes_near_its_targets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = mixing.mix(docs).collect()
+    taken, target, largest = defaultdict(int), {}, defaultdict(int)
+    for r in got:
+        assert 0 <= r["taken"] <= 2 * r["size"] and 0 <= r["rate"] <= 2
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+        largest[r["source"]] = max(largest[r["source"]], r["size"])
+    for s in target:
+        assert abs(taken[s] - target[s]) <= max(0.06 * target[s], 2)
+    again = mixing.mix(docs.repartition(5)).collect()
+    assert sorted((r["doc_id"], r["taken"]) for r in got) == sorted((r["doc_id"], r["taken"]) for r in again)
+    # the tilt: within a source the odds of the rate are exponential in the size
+    one = [r for r in got if r["source"] == "src1" and 0 < r["rate"] < 2]
+    slope = [np.log(r["rate"] / (2 - r["rate"])) / r["size"] for r in one]
+    assert np.allclose(slope, slope[0])
+
+
+def test_mixed_documents_are_the_copies(spark):
+    docs = documents(spark, [(i, "a b c " * (i % 7 + 1), "en", f"s{i % 3}") for i in range(60)])
+    want = {r["doc_id"]: r["copies"] for r in mixing.mix(docs).collect() if r["copies"]}
+    assert dict(Counter(r["doc_id"] for r in mixing.mixed_documents(docs).collect())) == want
+
+
+# 2
+
+
+def test_dedup_against_groups(spark):
+    rows = [(i, ["x", None, "", "y ", "y"][i % 5] if i < 40 else f"own {i}", "en", "a") for i in range(50)] + [(3, "y ", "en", "a")]
+    _, verdicts = exact_dedup.exact_dedup(documents(spark, rows).repartition(3), files_per_batch=1)
+    groups = defaultdict(list)
+    for i, t, *_ in rows:
+        groups[t or ""].append(i)
+    got = verdicts.collect()
+    text = {i: t or "" for i, t, *_ in rows}
+    for r in got:
+        g = groups[text[r["doc_id"]]]
+        assert (r["keep_id"], r["group_size"]) == (max(g), len(g))
+        assert bytes(r["digest"]) == hashlib.sha256(text[r["doc_id"]].encode()).digest()
+    assert sum(r["kept"] for r in got) == len(groups)
+
+
+def test_dedup_checks_bytes(spark):
+    rows = [(i, f"t{i % 7}", "en", "a") for i in range(30)]
+    short = lambda c: F.substring(exact_dedup.sha256(c), 1, 0)  # noqa: E731  every digest is the same
+    _, verdicts = exact_dedup.exact_dedup(documents(spark, rows), digest=short)
+    assert {(r["doc_id"], r["keep_id"], r["kept"]) for r in verdicts.collect()} == {(i, max(j for j in range(30) if j % 7 == i % 7), i + 7 >= 30) for i in range(30)}
+
+
+def test_state_goes_on_over_batches(spark):
+    rows = spark.range(20).select(F.col("id").alias("doc_id"), F.struct(F.lit("f").alias("file"), F.col("id").alias("pos")).alias("row"), F.unhex(F.sha2((F.col("id") % 3).cast("string"), 256)).alias("digest"))
+    arrivals = scratch.table(rows.repartition(5), "arrivals")
+    got = {(r["n"], r["keep"]["doc_id"]) for r in exact_dedup.stream_state(arrivals, files_per_batch=1).collect()}
+    assert got == {(7, 18), (7, 19), (6, 17)}
+
+
+# 3
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p><p>no";</script><style>p{}</style></head>
+<body class="has-sidebar"><header><h1>Site</h1></header><nav><ul><li><a href=x>One<li><a href=y>Two</ul></nav>
+<div class="cookie-notice"><p>We use cookies</div>
+<main><article id=a1><h1>Head &amp; line</h1><p>First&nbsp;para   with <b>bold</b><i>x</i>
+<p>Second &lt;para&gt;<br>after<div class="ad">Buy!</div><p>Short.<form>Name <input></form>
+<ul><li>item one<li>item two</ul><table><tr><td>a<td>b</table><aside>Side</aside></article>
+<section id="comments"><article class="comment"><p>Nice post</article></section></main>
+<div class='sidebar-left'>Links</div><footer>&copy; x</footer><!-- <p>no</p> --><script>unclosed"""
+
+
+def test_article_blocks():
+    want = ["Head & line", "First para with boldx", "Second <para> after", "Short.", "item one", "item two", "a", "b"]
+    assert html_extract.extract(PAGE) == "\n".join(want)
+
+
+def test_surge_and_dive_without_marks():
+    body = "word " * 40
+    page = f"<div>Home | About</div><p>x</p><p>y</p><p>z</p><h1>Title</h1><p>{body}</p><p>ok</p><p>{body}</p>" + "<div class=ad>a</div>" * 6 + "<p>Powered</p>"
+    assert html_extract.extract(page).split("\n")[-3:] == [body.strip(), "ok", body.strip()]
+    assert "Powered" not in html_extract.extract(page) and "Title" in html_extract.extract(page)
+
+
+def test_broken_pages():
+    for page, want in ((None, ""), ("", ""), ("<p", ""), ("plain", "plain"), ("<b>a < b</b>", "a < b"), ("<!--", ""), ("<article><p>x", "x"), ("a" * 200_000, "a" * 200_000), ('<p title="a>b">t', "t")):
+        assert html_extract.extract(page) == want, page
+    assert html_extract.extract("<a " + "'" * 50_000) == ""
+    assert html_extract.extract("<div>" * 20_000 + "deep") == "deep"
+
+
+def test_pages_table(spark):
+    df = spark.createDataFrame([(1, "u", PAGE), (None, None, None), (1, "u", PAGE)], "page_id bigint, url string, html string").withColumn("text", F.lit("z"))
+    got = html_extract.extract_pages(df).collect()
+    assert sorted((r["page_id"] or 0, len(r["text"])) for r in got) == [(0, 0), (1, len(html_extract.extract(PAGE))), (1, len(html_extract.extract(PAGE)))]
+    assert all(r["n_chars"] == len(r["text"]) for r in got)
+
+
+# 4
+
+
+def test_lines_above_the_limit(spark):
+    line = lambda name: " ".join(f"{name}{c}" for c in "abcdef")
+    own = lambda i: "\n".join(line(f"d{i}k{k}") for k in range(10))
+    rows = [(i, own(i) + "\n  All rights   RESERVED by the owner.", "en", "h") for i in range(1, 41)]
+    rows += [(100 + i, f"id{i}\n" + "\n".join(line(f"shared{k}") for k in range(12)), "en", "h") for i in range(1, 41)]
+    rows += [(200, rows[0][1], "en", "h")]
+    got = {r["doc_id"]: r for r in quality_rules(documents(spark, rows), limits=LineLimits(5, 0.05, 0.5)).collect()}
+    assert got[1]["removed_words"] == 0 and got[2]["removed_words"] == 6  # the first keeps the line
+    assert got[2]["kept"] and got[101]["kept"] and not got[102]["kept"]
+
+
+def test_copies_count_once(spark):
+    text = "\n".join(" ".join(f"k{k}{c}" for c in "abcdef") for k in range(12))
+    got = quality_rules(documents(spark, [(i, text, "en", "h") for i in range(100)]), limits=LineLimits(2, 0.0, 0.9)).collect()
+    assert all(r["kept"] for r in got)
+
+
+# 5
+
+
+def test_codewords():
+    for k in (2, 4, 7, 30):
+        code = language_id.codewords(k)
+        gaps = [(code[i] != code[j]).sum() for i in range(k) for j in range(i)]
+        assert min(gaps) >= (1 if k == 2 else 3)
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language_id.fit(docs.filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0))
+    rows = language_id.predict(docs, model).join(docs, "doc_id").collect()
+    held = [r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
+    assert np.mean([r["lang_pred"] == r["lang"] for r in held]) > 0.98
+    assert language_id.predict_one(model, "12 .. !") == ("und", 0.0, True) and language_id.predict_one(model, None)[0] == "und"
+
+
+def test_long_profiles_are_whole():
+    from quillmesh.llm import _linear
+
+    text = "abc defg " * 50_000
+    whole = _linear.letter_profile(text, 512)
+    before, _linear.PIECE = _linear.PIECE, 1000
+    try:
+        assert np.allclose(whole, _linear.letter_profile(text, 512), atol=1e-4)
+    finally:
+        _linear.PIECE = before
+
+
+# 6
+
+
+def shingle_sets(rows, words):
+    out = []
+    for i, t, *_ in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
+        out.append((i, {tuple(w[k : k + words]) for k in range(len(w) - words + 1)} if len(w) >= words else {tuple(w)} if w else set()))
+    return out
+
+
+def brute_components(rows, kind):
+    sets = shingle_sets(rows, kind.words)
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            i = len(sets[a][1] & sets[b][1])
+            if i and kind.den * i >= kind.num * len(sets[a][1] | sets[b][1]):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    least = {}
+    for k, (i, _) in enumerate(sets):
+        least[find(k)] = min(least.get(find(k), i), i)
+    return {i: (len(s), least[find(k)]) for k, (i, s) in enumerate(sets)}
+
+
+def near_copies(seed, n, length):
+    rng = np.random.default_rng(seed)
+    vocabulary = [f"v{k}" for k in range(300)]
+    bases = [list(rng.choice(vocabulary, rng.integers(1, length))) for _ in range(6)]
+    rows = []
+    for i in range(n):
+        w = list(bases[rng.integers(len(bases))])
+        for _ in range(rng.integers(0, max(2, len(w) // 12))):
+            w[rng.integers(len(w))] = rng.choice(vocabulary)
+        if rng.random() < 0.3:
+            w = w[rng.integers(0, 3) :] + list(rng.choice(vocabulary, rng.integers(0, 4)))
+        rows.append((i, " ".join(x.upper() if rng.random() < 0.05 else x for x in w), "en", "a"))
+    return rows
+
+
+@pytest.mark.parametrize("seed,length", [(1, 8), (2, 40), (3, 200)])
+@pytest.mark.parametrize("kind", [jaccard_join.Similarity(3, 90, 100, 3), jaccard_join.Similarity(), jaccard_join.Similarity(2, 60, 100, 4)])
+def test_join_finds_every_link(spark, seed, length, kind):
+    rows = near_copies(seed, 150, length)
+    _, classes = jaccard_join.jaccard_components(documents(spark, rows), kind)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in classes.collect()} == brute_components(rows, kind)
+
+
+def test_partners_share_a_signature():
+    rng = np.random.default_rng(5)
+    empty = np.zeros(jaccard_join.MAP_BITS // 8, np.uint8)
+    for kind in (jaccard_join.Similarity(), jaccard_join.Similarity(3, 90, 100, 3)):
+        for _ in range(300):
+            h = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 400), dtype=np.uint64))
+            keep = int(np.ceil(len(h) * kind.num / kind.den))
+            g = np.sort(rng.choice(h, rng.integers(keep, len(h) + 1), replace=False))
+            often = jaccard_join._bitmap(rng.choice(h, rng.integers(0, len(h) + 1), replace=False)) if rng.random() < 0.7 else empty
+            assert np.intersect1d(jaccard_join.all_signatures(h, often, kind), jaccard_join.all_signatures(g, often, kind)).size
+
+
+def test_components_against_union(spark):
+    rng = np.random.default_rng(3)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 120, (90, 2))] + [(i, i + 1) for i in range(200, 240)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    assert {x: find(x) for x in root if find(x) != x} == got
+
+
+def test_one_of_each_class_stays(spark):
+    rows = near_copies(7, 80, 60) + [(0, near_copies(7, 1, 60)[0][1], "en", "a")]
+    want = {c for _, c in brute_components(rows, jaccard_join.Similarity()).values()}
+    got = [r["doc_id"] for r in jaccard_join.without_near_duplicates(documents(spark, rows)).collect()]
+    assert sorted(got) == sorted(want)
+
+
+# 7
+
+
+def test_compaction_keeps_every_row(spark):
+    store = ShardStore(spark, scratch.new_path(spark, "store"), target_bytes=40_000, fanout=3)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for k in range(9):
+        store.append(docs.filter(F.col("doc_id") % 9 == k).repartition(2), f"a{k}")
+        before = store.manifest()
+        store.append(docs.limit(5), f"a{k}")  # a replay
+        assert store.manifest() == before
+        store.compact()
+    now = store.manifest()
+    assert sorted(map(tuple, store.read().collect()), key=str) == sorted(map(tuple, docs.collect()), key=str)
+    assert any(s.generation > 0 for s in now.shards) and len({s.number for s in now.shards}) == len(now.shards)
+    assert all(len([s for s in now.shards if store.tier(s) == t]) < 3 for t in range(1, 13))
+    located = store.located("doc_id")
+    assert located.count() == docs.count() and {r["shard"] for r in located.collect()} <= {s.number for s in now.shards}
+
+
+def test_commits_exclude_each_other(spark):
+    store = ShardStore(spark, scratch.new_path(spark, "store"))
+    first = store.append(spark.range(3).toDF("x"))
+    assert not store._commit(first)  # that version exists
+    assert store.manifest() == first
+    store.append(spark.range(0).toDF("x"), "none")
+    assert store.read().count() == 3 and "none" in store.manifest().arrivals
+    assert ShardStore(spark, scratch.new_path(spark, "store")).compact().version == 0
+
+
+# 8
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(queries.tokenizer_path())
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return bpe_chunks.Codec(open(queries.tokenizer_path(), encoding="utf-8").read())
+
+
+PIECES = st.sampled_from(["a", "the ", " ", "  ", "\n", "\t", "'s", "'ll ", "12", "é", "ß ", " ", "\u0085", "<|endoftext|>", "!", "...", "中文", "😀", " ", "\x1c", "ſ", "\r\n", "́", "x" * 50])
+
+
+@given(st.lists(PIECES, max_size=300))
+@settings(max_examples=150, deadline=None)
+def test_codec_agrees_with_the_library(codec, tokenizer, parts):
+    text = "".join(parts)
+    ids, back = codec.encode(text)
+    assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert back.decode() == tokenizer.decode(ids.tolist(), skip_special_tokens=False)
+
+
+def test_codec_on_documents(spark, tokenizer):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    got = {r["doc_id"]: r for r in queries.op8_bpe_chunks(spark, "/root/testdata/sf0.001").collect()}
+    for i, t in rows:
+        ids = tokenizer.encode(t, add_special_tokens=False).ids
+        assert got[i]["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert got[i]["n_tokens"] == len(ids) and got[i]["decoded_sha256"] == hashlib.sha256(t.encode()).hexdigest()
+
+
+def test_shared_passages_share_chunks():
+    rng = np.random.default_rng(1)
+    passage = " ".join(f"p{k}" for k in rng.integers(0, 10_000, 2000)).encode()
+    cut = lambda pre: {x - len(pre) for x in bpe_chunks.cut_points(pre + passage).tolist() if x > len(pre) + 100}
+    assert cut(b"") - set(range(200)) == cut(b"other words before ") - set(range(200)) and len(cut(b"")) > 5
+
+
+def test_long_run_without_blanks(codec, tokenizer):
+    text = "ab" * 20_000
+    assert codec.encode(text)[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+# 9
+
+
+def test_ranking_on_held_out_labels(spark):
+    got = {r["doc_id"]: r for r in queries.op9_pairwise_quality(spark, "/root/testdata/sf0.01").collect()}
+    labels = [r for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect() if got[r["doc_id"]]["held_out"]]
+    assert np.mean([got[r["doc_id"]]["predicted"] == r["quality"] for r in labels]) > 0.95
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in got.values())
+
+
+def test_pairs_of_one_kind():
+    x = np.ones((3, 4))
+    assert pairwise_quality.fit_pairs(x, np.array([0, 0, 0])).score(x).tolist() == [0.0] * 3
+    assert pairwise_quality.fit_pairs(x, np.array([1, 1, 1])).score(x).tolist() == [1.0] * 3
+
+
+# 10
+
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def brute_spans(text):
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    return ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(found))
+
+
+SECRETS = st.lists(st.sampled_from(["token", "Token=", "api_key", "APIKEY: ", '"', "'", "=", ":", " ", "\n", "abc123def456", "0123456789abcdef", "AKIA", "ABCDEFGHIJKLMNOP", "x", "é", "😀", "-", ".", "secret"]), max_size=40)
+
+
+@given(st.lists(SECRETS, min_size=1, max_size=60))
+@settings(max_examples=8, deadline=None)
+def test_base_spans(spark, texts):
+    rows = [(i, "".join(t), "en", "a") for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r for r in secret_scan.secret_scan(documents(spark, rows)).collect()}
+    for i, t, *_ in rows:
+        want = brute_spans(t)
+        assert got[i]["base_sha256"] == hashlib.sha256(want.encode()).hexdigest(), t
+        assert got[i]["spans"] == want
+
+
+def test_ownership_parts_examples_from_live_keys(spark):
+    live, example = "ghp_" + "a1B2" * 9, "ghp_" + "EXAMPLE0" * 5
+    rows = [(i, f"doc {i} {example}", "en", f"owner{i}") for i in range(5)] + [(9, f"mine {live}", "en", "me")]
+    got = {r["doc_id"]: r for r in secret_scan.secret_scan(documents(spark, rows)).collect()}
+    assert got[9]["spans"] == f"github:5:{5 + len(live)}" and got[9]["n_live"] == 1
+    assert got[0]["spans"] == "" and got[0]["n_example"] == 1
