@@ -52,10 +52,10 @@ from quillmesh import scratch
 from quillmesh.llm._worker import BATCH, releasing
 from quillmesh.llm.components import components
 
-#: Parts beyond the least number, as a share of it; signatures of up to FEW shingles are left out where a set can.
-MARGIN, FEW = 0.25, 3
+#: Signatures of up to FEW shingles are left out where a set can.
+FEW = 3
 #: 64-bit words of a sketch.
-SKETCH = 16
+SKETCH = 8
 #: Members up to which a bucket's pairs are listed at once; leaders of a larger one in the first round, and their growth.
 SMALL, LEADERS, GROWTH = 16, 4, 4
 #: Bytes of text hashed at a time.
@@ -72,12 +72,16 @@ _BLANK[[9, 10, 11, 12, 13, 32]] = True
 
 @dataclass(frozen=True)
 class Similarity:
-    """Sets link when den * intersection >= num * union; shingles of ``words`` words; parts of ``cells`` cells."""
+    """Sets link when den * intersection >= num * union; shingles of ``words`` words.
+
+    ``cells`` of a part, and ``margin``, parts beyond the least number as a share of it, decide on the work, not on the
+    links: the lower the threshold, the fewer shingles a part has, and the more parts lack some."""
 
     words: int = 5
     num: int = 8
     den: int = 10
     cells: int = 2
+    margin: float = 0.25
     seed: int = 1
 
 
@@ -153,7 +157,7 @@ def parts_of(band: int, kind: Similarity) -> tuple[int, int]:
     """(n1, spare): parts of the band, and how many more they are than needed, which a set may do without."""
     top = int(band_edges(kind.num, kind.den)[band + 1]) - 1
     k = (top + top * kind.den // kind.num) * (kind.den - kind.num) // (kind.den + kind.num)
-    spare = int(np.ceil(MARGIN * (k // 2 + 1))) if k else 0
+    spare = int(np.ceil(kind.margin * (k // 2 + 1))) if k else 0
     return k // 2 + 1 + spare, spare
 
 
@@ -318,37 +322,44 @@ def _hashes(kind: Similarity) -> Callable:
 
 
 def _memberships(each: DataFrame) -> DataFrame:
-    """sig, node, rank for the signatures that several nodes have; one exchange serves all of it."""
+    """sig, node, rank, head (the least node) and members of the signatures that several nodes have.
+
+    One exchange by signature serves all of it."""
     each = each.repartition("sig")
-    shared = each.groupBy("sig").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
-    found = each.join(shared, "sig").groupBy("sig", "node").agg(F.lit(1).alias("one"))  # a semi-join would move below the exchange
-    rank = F.row_number().over(Window.partitionBy("sig").orderBy("node"))
-    return scratch.table(found.select("sig", "node", rank.alias("rank")), "join-buckets")
+    shared = each.groupBy("sig").agg(F.min("node").alias("head"), F.max("node").alias("most")).filter("head < most")
+    found = each.join(shared, "sig").groupBy("sig", "node").agg(F.first("head").alias("head"))  # a semi-join would move below the exchange
+    bucket = Window.partitionBy("sig")
+    rank, members = F.row_number().over(bucket.orderBy("node")), F.count("*").over(bucket)
+    return scratch.table(found.select("sig", "node", rank.alias("rank"), "head", members.alias("members")), "join-buckets")
 
 
 class _Links:
     """Verifies candidate pairs and keeps the components that the links form."""
 
     def __init__(self, hashes: DataFrame, nodes: DataFrame, kind: Similarity) -> None:
-        self.hashes, self.kind = hashes, kind
+        self.hashes, self.sketches, self.kind = hashes, hashes.drop("hashes"), kind
         self.labels = scratch.table(nodes.select("node", F.col("node").alias("label")), "join-labels")
         self.tested: DataFrame | None = None
 
-    def mixed(self, ranked: DataFrame, lo: int) -> DataFrame | None:
-        """The memberships, with labels, of buckets in which several components meet and a rank over ``lo`` is left."""
-        labelled = ranked.join(self.labels, "node")
-        mixed = labelled.groupBy("sig").agg(F.min("label").alias("p"), F.max("label").alias("q"), F.max("rank").alias("last"))
-        mixed = mixed.filter(F.col("p") < F.col("q")).filter(F.col("last") > lo).select("sig")
-        left = scratch.table(labelled.join(mixed, "sig", "left_semi"), "join-mixed")
+    def mixed(self, ranked: DataFrame) -> DataFrame | None:
+        """The memberships, with labels, of buckets in which several components meet; None without any."""
+        labelled = ranked.join(scratch.bounded(self.labels), "node")
+        bucket = Window.partitionBy("sig")
+        ends = {"p_": F.min("label").over(bucket), "q_": F.max("label").over(bucket)}
+        left = scratch.table(labelled.withColumns(ends).filter("p_ < q_").drop("p_", "q_"), "join-mixed")
         return left if left.limit(1).count() else None
 
+    def sketched(self, members: DataFrame) -> DataFrame:
+        return members.join(scratch.bounded(self.sketches), "node")
+
     def test(self, pairs: DataFrame) -> None:
         """Forms components with the links among ``pairs`` (a, b)."""
         pairs = scratch.table(pairs, "join-pairs")
         words = [f"s{k}" for k in range(SKETCH)]
         of = lambda c, *names: self.hashes.select(F.col("node").alias(c), *[F.col(x).alias(f"{c}_{x}") for x in names])
         num, den = self.kind.num, self.kind.den
-        left = pairs.join(of("b", "size", *words), "b").join(of("a", "size", *words), "a").filter(_near(self.kind, "a_", "b_")).select("a", "b")
+        brief = lambda c: scratch.bounded(of(c, "size", *words))
+        left = pairs.join(brief("b"), "b").join(brief("a"), "a").filter(_near(self.kind, "a_", "b_")).select("a", "b")
         left = scratch.table(left, "join-near")
         n, m, both = F.size("a_hashes"), F.size("b_hashes"), F.size(F.array_intersect("a_hashes", "b_hashes"))
         linked = den * both >= num * (n + m - both)
@@ -374,29 +385,26 @@ def _near(kind: Similarity, p: str, q: str) -> Column:
 
 
 def _link_all(ranked: DataFrame, links: _Links) -> None:
-    heads = ranked.filter("rank = 1").select("sig", F.col("node").alias("head"))
-    nearest = ranked.filter("rank > 1").join(heads, "sig").groupBy(F.col("node").alias("b")).agg(F.min("head").alias("a"))
+    nearest = ranked.filter("rank > 1").groupBy(F.col("node").alias("b")).agg(F.min("head").alias("a"))
     links.test(nearest.select("a", "b"))
-    size = ranked.groupBy("sig").agg(F.max("rank").alias("members"))
-    ranked = scratch.table(ranked.join(size, "sig"), "join-sized")
+    ranked = ranked.drop("head")
 
-    few = links.mixed(ranked.filter(F.col("members") <= SMALL), 0)
+    few = links.mixed(ranked.filter(F.col("members") <= SMALL))
     if few is not None:
         lead = few.select("sig", F.col("node").alias("a"), F.col("label").alias("a_label"), F.col("rank").alias("a_rank"))
         pairs = lead.join(few, "sig").filter((F.col("rank") > F.col("a_rank")) & (F.col("label") != F.col("a_label")))
         links.test(pairs.select("a", F.col("node").alias("b")).distinct().join(links.tested, ["a", "b"], "left_anti"))
 
-    many = ranked.filter(F.col("members") > SMALL).drop("members")
-    many = scratch.table(many.join(links.hashes.drop("hashes"), "node"), "join-many")
-    lo, hi = 1, 1 + LEADERS
-    while (left := links.mixed(many, lo)) is not None:
+    many, lo, hi = ranked.filter(F.col("members") > SMALL), 1, 1 + LEADERS
+    while (many := links.mixed(many.filter(F.col("members") > lo))) is not None:  # a bucket of one component stays one
+        left = links.sketched(many)
         lead = left.filter((F.col("rank") >= lo) & (F.col("rank") < hi))
-        lead = lead.select(F.col("sig").alias("of"), *[F.col(c).alias(f"a_{c}") for c in left.columns if c != "sig"])
+        lead = lead.select(F.col("sig").alias("of"), *[F.col(c).alias(f"a_{c}") for c in left.columns if c not in ("sig", "members")])
         apart = (F.col("rank") > F.col("a_rank")) & (F.col("label") != F.col("a_label"))
         pairs = left.join(lead, (F.col("sig") == F.col("of")) & apart & _near(links.kind, "", "a_"))
         pairs = pairs.select(F.col("a_node").alias("a"), F.col("node").alias("b")).distinct()
         links.test(pairs.join(links.tested, ["a", "b"], "left_anti"))
-        lo, hi = hi, hi + (hi - lo) * GROWTH
+        many, lo, hi = many.drop("label"), hi, hi + (hi - lo) * GROWTH
 
 
 def jaccard_components(docs: DataFrame, kind: Similarity = Similarity(), doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:

@@ -57,7 +57,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, classes = jaccard_components(documents(spark, sf_dir), Similarity(words=3, num=90, den=100, cells=3))
+    _, classes = jaccard_components(documents(spark, sf_dir), Similarity(words=3, num=90, den=100, cells=2, margin=0.1))
     return classes.select("doc_id", "n_shingles", "component_id")
 
 
