@@ -25,6 +25,8 @@ repeats allow; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +44,9 @@ MAX_ITERATIONS = 60
 PASSES, BUCKETS, ROUNDS = 3, 4096, 2
 
 
+Hint = Callable[[DataFrame], DataFrame]
+
+
 def source_targets(sources: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
     """Adds ``target`` to rows of (source, source_size): shares by weight, stopped at cap times the source's size,
     the excess reshared. With sources in order of cap * size / weight, those before the first whose share stays below
@@ -72,13 +77,19 @@ def _rate(cap: float) -> Column:
     )
 
 
-def _of_source(rows: DataFrame, plan: DataFrame) -> DataFrame:
+def _of_source(rows: DataFrame, plan: DataFrame, hint: Hint) -> DataFrame:
     """Rows with their source's row of the plan."""
-    plan = plan.withColumnRenamed("source", "plan_source")
-    return rows.join(scratch.bounded(plan), F.col("source").eqNullSafe(F.col("plan_source"))).drop("plan_source")
+    plan = hint(plan.withColumnRenamed("source", "plan_source"))
+    return rows.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).drop("plan_source")
+
+
+def _hint(plan: DataFrame) -> Hint:
+    """Broadcasts plans with as many rows as this one if these are few, and leaves them to shuffle otherwise."""
+    few = plan.limit(scratch.BROADCAST_ROWS + 1).count() <= scratch.BROADCAST_ROWS
+    return F.broadcast if few else lambda df: df
 
 
-def multipliers(hist: DataFrame, plan: DataFrame, cap: float = CAP) -> DataFrame:
+def multipliers(hist: DataFrame, plan: DataFrame, hint: Hint, cap: float = CAP) -> DataFrame:
     """Newton's iterations on the dual; ``hist`` has source, size, n; adds ``lam`` to the plan."""
     free = (F.col("target") > 0) & (F.col("target") < F.lit(float(cap)) * F.col("source_size"))
     state = plan.withColumn("free", free).withColumn(
@@ -90,7 +101,7 @@ def multipliers(hist: DataFrame, plan: DataFrame, cap: float = CAP) -> DataFrame
     for _ in range(MAX_ITERATIONS):
         w = _rate(cap)
         sums = (
-            _of_source(hist, state.filter("free"))
+            _of_source(hist, state.filter("free"), hint)
             .groupBy(F.col("source").alias("of"))
             .agg(F.sum(words * w).alias("got"), F.sum(words * z * w * (1 - w / float(cap))).alias("slope"))
         )
@@ -128,7 +139,7 @@ def _copied(cuts: Column) -> Column:
     return F.exists(cuts, lambda c: (F.col("size") <= c["most"]) & (F.col("point") < c["cut"]))
 
 
-def cuts(rows: DataFrame, plan: DataFrame, cap: float = CAP) -> DataFrame:
+def cuts(rows: DataFrame, plan: DataFrame, hint: Hint, cap: float = CAP) -> DataFrame:
     """Adds ``cuts`` to the plan; ``rows`` has source, size and u, a hash of the row within [0, 1).
 
     The first cut stays below the target; the next adds, among documents no larger than what is still missing; the
@@ -139,7 +150,7 @@ def cuts(rows: DataFrame, plan: DataFrame, cap: float = CAP) -> DataFrame:
         last, room = k == PASSES - 1, 2.0 if k == PASSES - 2 else 1.0
         state = state.withColumns({"lo": F.lit(-1.0), "wide": F.lit(2.0)})
         for _ in range(ROUNDS):
-            state = _narrowed(rows, scratch.table(state, "mix-cut"), cap)
+            state = _narrowed(rows, scratch.table(state, "mix-cut"), hint, cap)
         cut = F.when(F.lit(last) & (F.col("words") - F.col("short") < F.col("short")), F.col("lo") + F.col("wide")).otherwise(F.col("lo"))
         state = state.select(
             *plan.columns,
@@ -150,10 +161,10 @@ def cuts(rows: DataFrame, plan: DataFrame, cap: float = CAP) -> DataFrame:
     return scratch.table(state.select(*plan.columns, "cuts"), "mix-plan")
 
 
-def _narrowed(rows: DataFrame, state: DataFrame, cap: float) -> DataFrame:
+def _narrowed(rows: DataFrame, state: DataFrame, hint: Hint, cap: float) -> DataFrame:
     """Narrows [lo, lo + wide) of each source to the bucket in which its words reach the target; adds ``short``, what
     is missing at the bucket's start, and ``words``, what the bucket holds."""
-    each = _of_source(rows, state).withColumn("rate", _rate(cap)).select("*", *_parts(cap))
+    each = _of_source(rows, state, hint).withColumn("rate", _rate(cap)).select("*", *_parts(cap))
     inside = (F.col("point") >= F.col("lo")) & (F.col("point") < F.col("lo") + F.col("wide"))
     inside = inside & (F.col("size") <= F.col("most")) & ~_copied(F.col("cuts"))
     bucket = F.least(F.floor((F.col("point") - F.col("lo")) / F.col("wide") * BUCKETS), F.lit(BUCKETS - 1))
@@ -166,7 +177,7 @@ def _narrowed(rows: DataFrame, state: DataFrame, cap: float) -> DataFrame:
     need = F.col("target") - F.col("sure") - F.col("below")
     at = F.struct("bucket", "upto", F.col("bucket_words").alias("words"))
     picked = (
-        _of_source(sums, state.select("source", "target", "below"))
+        _of_source(sums, state.select("source", "target", "below"), hint)
         .withColumn("need", need)
         .groupBy(F.col("source").alias("of"))
         .agg(
@@ -202,12 +213,13 @@ def mix_plan(rows: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, ca
         (F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("mean_size"),
     )
     plan = scratch.table(source_targets(sources, weights, share, cap), "mix-targets")
-    return cuts(rows, multipliers(hist, plan, cap), cap)
+    hint = _hint(plan)
+    return cuts(rows, multipliers(hist, plan, hint, cap), hint, cap)
 
 
 def with_copies(rows: DataFrame, plan: DataFrame, cap: int = CAP) -> DataFrame:
     """Rows having source, size and u, with their plan row's columns, ``rate`` and ``copies``."""
-    each = _of_source(rows, plan).withColumn("rate", _rate(cap)).select("*", *_parts(cap))
+    each = _of_source(rows, plan, _hint(plan)).withColumn("rate", _rate(cap)).select("*", *_parts(cap))
     extra = F.when(_copied(F.col("cuts")), 1).otherwise(0)
     return each.withColumn("copies", (F.col("whole") + extra).cast("int")).drop("whole", "point")
 
