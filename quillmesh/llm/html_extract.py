@@ -82,10 +82,11 @@ def _boilerplate(tag: str, attributes: str, inside: str) -> bool:
         return True
     if got.get("role", "").lower() in DROPPED_ROLES:
         return True
+    dropped = DROPPED_NAMES - {"header"} if inside in LANDMARKS else DROPPED_NAMES  # an article's own header has its title
     for value in (got.get("class", ""), got.get("id", "")):
         for one in value.split():
             names = _NAME.findall(_CAMEL.sub("-", one).lower())
-            if any(n in DROPPED_NAMES and (k == 0 or names[k - 1] not in NEGATING) for k, n in enumerate(names)):
+            if any(n in dropped and (k == 0 or names[k - 1] not in NEGATING) for k, n in enumerate(names)):
                 return True
     return False
 

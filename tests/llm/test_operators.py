@@ -166,7 +166,7 @@ def test_state_goes_on_over_batches(spark):
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p><p>no";</script><style>p{}</style></head>
 <body class="has-sidebar"><header><h1>Site</h1></header><nav><ul><li><a href=x>One<li><a href=y>Two</ul></nav>
 <div class="cookie-notice"><p>We use cookies</div>
-<main><article id=a1><h1>Head &amp; line</h1><p>First&nbsp;para   with <b>bold</b><i>x</i>
+<main><article id=a1><header class="entry-header"><h1>Head &amp; line</h1></header><p>First&nbsp;para   with <b>bold</b><i>x</i>
 <p>Second &lt;para&gt;<br>after<div class="ad">Buy!</div><p>Short.<form>Name <input></form>
 <ul><li>item one<li>item two</ul><table><tr><td>a<td>b</table><aside>Side</aside></article>
 <section id="comments"><article class="comment"><p>Nice post</article></section></main>
