@@ -38,7 +38,7 @@ from quillmesh.llm._worker import releasing
 WINDOW, CUT_BITS = 16, 9
 #: Bytes of chunk text a task remembers, and bytes of text in an output batch.
 REMEMBERED = 4 << 20
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 _GEAR = np.random.default_rng(20_240_229).integers(0, 1 << 32, 256, dtype=np.uint32)
 #: Place between a character that isn't white space and a blank.

@@ -33,7 +33,7 @@ from quillmesh.llm._worker import releasing
 #: Lines in a window, and the least sum that is a surge on a page without marked article.
 WINDOW = 3
 SURGE = 80
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 #: Elements by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
