@@ -3,12 +3,12 @@
 The markup is stripped to lines, one a block element's text, each with its length
 of running text; lines in menus, headers, footers, sidebars, notices, adverts,
 forms, comments of readers and the like weigh nothing, and neither do menus of bare
-links. Lengths are summed over sliding windows of lines. The main text begins at a
-surge point, where the sum of a window passes the threshold, and ends at the dive
-point, where it falls to nothing. If a page marks its article or main part, only
-lines in it weigh anything and the threshold is one character, so the region spans
-from its first line to its last; on other pages the threshold is set from
-the page's own distribution, and headings right before the surge come with it.
+links, nor lines outside the article or main part of a page that marks one. Lengths
+are summed over sliding windows of lines. Dive points, where the sum of a window falls
+to nothing, part the page into blocks; a block with a surge point, where the sum of a
+window passes the threshold, is main text with all its lines that weigh anything, so
+short first and last paragraphs come with it. The threshold is half the mean of the
+page's own sums, at most SURGE.
 
 Scale: a projection over the pages, a page at a time, in linear time; no shuffle, and
 batches bounded in bytes.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from quillmesh.llm._worker import releasing
 
-#: Lines in a window, and the least sum that is a surge on a page without marked article.
+#: Lines in a window, and the sum that is a surge on every page.
 WINDOW = 3
 SURGE = 80
 BATCH_BYTES = 2 << 20
@@ -56,7 +56,6 @@ DROPPED_NAMES = frozenset(
 )
 #: A name after one of these tells of a layout, not of the element itself.
 NEGATING = frozenset("has with no without is show hide".split())
-HEADINGS = frozenset("h1 h2 h3".split())
 LANDMARKS = frozenset("article main".split())
 #: Start tags that end an open element of the same group.
 ENDS = {t: frozenset([t]) for t in ("li", "option", "tr")} | {t: frozenset(["dt", "dd"]) for t in ("dt", "dd")} | {t: frozenset(["td", "th"]) for t in ("td", "th")}
@@ -220,38 +219,35 @@ def _weights(lines: list[Line]) -> list[int]:
     return out
 
 
+def _blocks(weights: list[int]) -> list[list[int]]:
+    """The lines that weigh anything, parted at the dive points: a window of lines that weigh nothing."""
+    out: list[list[int]] = []
+    for k, w in enumerate(weights):
+        if w and out and k - out[-1][-1] <= WINDOW:
+            out[-1].append(k)
+        elif w:
+            out.append([k])
+    return out
+
+
 def extract(page: str | None) -> str:
     """The main text of a page, its blocks joined by line feeds."""
     lines = lines_of(page or "")
     if not lines:
         return ""
     weights = _weights(lines)
-    marked = any(x.marked for x in lines)
-    if marked:
+    if any(x.marked for x in lines):
         weights = [w if x.marked else 0 for w, x in zip(weights, lines, strict=True)]
-        gap, surge = len(lines), 1
-    else:
-        gap, surge = 0, min(SURGE, max(weights))
-    if not any(weights):
-        return ""
     sums = [sum(weights[k : k + WINDOW]) for k in range(len(weights))]
-    kept: set[int] = set()
-    k = 0
-    while k < len(sums):
-        if sums[k] < surge or not weights[k]:
-            k += 1
-            continue
-        start = stop = k  # a surge point
-        empty = 0
-        while stop < len(sums) and (sums[stop] > 0 and (weights[stop] or empty < WINDOW) or empty < gap):  # up to the dive point
-            empty = 0 if weights[stop] else empty + 1
-            stop += 1
-        first = start
-        while first and lines[first - 1].tag in HEADINGS and weights[first - 1]:
-            first -= 1
-        kept |= {i for i in range(first, stop) if weights[i]}
-        k = stop
-    return "\n".join(lines[i].text for i in sorted(kept))
+    passed = [s for s in sums if s]
+    if not passed:
+        return ""
+    surge = min(SURGE, sum(passed) / len(passed) / 2)
+    kept: list[int] = []
+    for block in _blocks(weights):
+        if any(sum(weights[i] for i in block[k : k + WINDOW]) >= surge for k in range(len(block))):
+            kept += block
+    return "\n".join(lines[i].text for i in kept)
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -185,6 +185,14 @@ def test_surge_and_dive_without_marks():
     assert "Powered" not in html_extract.extract(page) and "Title" in html_extract.extract(page)
 
 
+def test_surge_and_dive_within_marks():
+    body = "word " * 40
+    menu = "".join(f"<p><a href=x>go {k}</a></p>" for k in range(3))
+    page = f"<article><h1>Title</h1><p>By me</p><p>{body}</p><p>ok</p>{menu}<div>Buy now</div></article>"
+    assert html_extract.extract(page).split("\n") == ["Title", "By me", body.strip(), "ok"]
+    assert html_extract.extract("<main><p>one</p><p>two</p></main>") == "one\ntwo"
+
+
 def test_broken_pages():
     for page, want in ((None, ""), ("", ""), ("<p", ""), ("plain", "plain"), ("<b>a < b</b>", "a < b"), ("<!--", ""), ("<article><p>x", "x"), ("a" * 200_000, "a" * 200_000), ('<p title="a>b">t', "t")):
         assert html_extract.extract(page) == want, page
