@@ -3,8 +3,9 @@
 The markup is stripped to lines, one a block element's text, each with its length
 of running text; lines in menus, headers, footers, sidebars, notices, adverts,
 forms, comments of readers and the like weigh nothing, and neither do menus of bare
-links, nor lines outside the article or main part of a page that marks one. Lengths
-are summed over sliding windows of lines. Dive points, where the sum of a window falls
+links, nor lines outside the article or main part of a page that marks one. A
+boilerplate element counts as one such line. On other pages lines of nothing but links
+make no surge, but stay within a block that has one. Lengths are summed over sliding windows of lines. Dive points, where the sum of a window falls
 to nothing, part the page into blocks; a block with a surge point, where the sum of a
 window passes the threshold, is main text with all its lines that weigh anything, so
 short first and last paragraphs come with it. The threshold is half the mean of the
@@ -56,6 +57,7 @@ DROPPED_NAMES = frozenset(
 )
 #: A name after one of these tells of a layout, not of the element itself.
 NEGATING = frozenset("has with no without is show hide".split())
+PROSE = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 LANDMARKS = frozenset("article main".split())
 #: Start tags that end an open element of the same group.
 ENDS = {t: frozenset([t]) for t in ("li", "option", "tr")} | {t: frozenset(["dt", "dd"]) for t in ("dt", "dd")} | {t: frozenset(["td", "th"]) for t in ("td", "th")}
@@ -107,12 +109,12 @@ def lines_of(page: str) -> list[Line]:
     links: list[str] = []
     open_tags: list[tuple[str, bool]] = []  # (tag, boilerplate)
     dropped = marked = in_link = 0
-    passed = False  # text of a boilerplate element, which leaves an empty line
+    passed = False  # text of a boilerplate element, which leaves one empty line, however many blocks it has
     at, end = 0, len(page)
 
     def close_line() -> None:
         nonlocal passed
-        if passed:
+        if passed and not dropped:
             out.append(Line("", 0, "", False))
             passed = False
         if parts:
@@ -204,49 +206,65 @@ def _end_sibling(open_tags: list[tuple[str, bool]], group: frozenset, pop) -> No
             return
 
 
-def _weights(lines: list[Line]) -> list[int]:
-    """Running text of each line: none in menus, that is three or more lines in a row of nothing but links."""
+def _links(lines: list[Line]) -> tuple[list[bool], list[bool]]:
+    """(lines of nothing but links, those of them in menus): a menu is three or more in a row, no window of which is
+    long enough for a surge; a list of references is."""
     bare = [x.text != "" and x.linked >= 0.9 * len(x.text) for x in lines]
-    out = [0 if b and not x.marked else len(x.text) for b, x in zip(bare, lines, strict=True)]
+    menu = [False] * len(lines)
     k = 0
     while k < len(lines):
         run = k
         while run < len(lines) and bare[run]:
             run += 1
-        if run - k >= 3:
-            out[k:run] = [0] * (run - k)
+        if run - k >= 3 and all(sum(len(x.text) for x in lines[i : i + WINDOW]) < SURGE for i in range(k, run - WINDOW + 1)):
+            menu[k:run] = [True] * (run - k)
         k = max(run, k + 1)
-    return out
+    return bare, menu
 
 
-def _blocks(weights: list[int]) -> list[list[int]]:
-    """The lines that weigh anything, parted at the dive points: a window of lines that weigh nothing."""
+def _blocks(held: list[bool]) -> list[list[int]]:
+    """The lines held, parted at the dive points: a window of lines that aren't."""
     out: list[list[int]] = []
-    for k, w in enumerate(weights):
-        if w and out and k - out[-1][-1] <= WINDOW:
+    for k, h in enumerate(held):
+        if h and out and k - out[-1][-1] <= WINDOW:
             out[-1].append(k)
-        elif w:
+        elif h:
             out.append([k])
     return out
 
 
+def _trimmed(block: list[int], lines: list[Line], bare: list[bool]) -> list[int]:
+    """A block without the rows of links at its ends, which lead elsewhere; headings, paragraphs and lists of three or
+    more links stay."""
+    def loose(i: int) -> bool:
+        return bare[i] and lines[i].tag not in PROSE and not any(all(bare[k : k + 3]) for k in range(max(i - 2, 0), min(i + 1, len(bare) - 2)))
+
+    first, last = 0, len(block)
+    while first < last and loose(block[first]):
+        first += 1
+    while first < last and loose(block[last - 1]):
+        last -= 1
+    return block[first:last]
+
+
 def extract(page: str | None) -> str:
     """The main text of a page, its blocks joined by line feeds."""
     lines = lines_of(page or "")
     if not lines:
         return ""
-    weights = _weights(lines)
-    if any(x.marked for x in lines):
-        weights = [w if x.marked else 0 for w, x in zip(weights, lines, strict=True)]
+    bare, menu = _links(lines)
+    marked = any(x.marked for x in lines)
+    held = [x.text != "" and not m and x.marked == marked for x, m in zip(lines, menu, strict=True)]
+    weights = [len(x.text) if h and (marked or not b) else 0 for x, h, b in zip(lines, held, bare, strict=True)]
     sums = [sum(weights[k : k + WINDOW]) for k in range(len(weights))]
     passed = [s for s in sums if s]
     if not passed:
         return ""
     surge = min(SURGE, sum(passed) / len(passed) / 2)
     kept: list[int] = []
-    for block in _blocks(weights):
+    for block in _blocks(held):
         if any(sum(weights[i] for i in block[k : k + WINDOW]) >= surge for k in range(len(block))):
-            kept += block
+            kept += block if marked else _trimmed(block, lines, bare)
     return "\n".join(lines[i].text for i in kept)
 
 

@@ -193,6 +193,22 @@ def test_surge_and_dive_within_marks():
     assert html_extract.extract("<main><p>one</p><p>two</p></main>") == "one\ntwo"
 
 
+def test_short_paragraphs_without_marks():
+    body = "word " * 40
+    first = ["By me", "May 1", "Short.", "Again."]
+    paragraphs = lambda *texts: "".join(f"<p>{t}</p>" for t in texts)
+    ad = "<div class=ad><p>a</p><p>b</p><p>c</p><p>d</p></div>"
+    refs = [f"A paper with a long title that is number {k}" for k in range(3)]
+    page = (
+        "<nav><a href=x>One</a></nav><div><a href=x>Home</a></div><h2><a href=y>Linked title</a></h2>" + paragraphs(*first, body)
+        + ad + paragraphs("Middle.") + ad + paragraphs("<a href=z>See also</a>", "Bye.", "End.")
+        + "".join(f"<li><a href=z>{r}</a>" for r in refs)
+    )
+    assert html_extract.extract(page).split("\n") == ["Linked title", *first, body.strip(), "Middle.", "See also", "Bye.", "End.", *refs]
+    menu = "".join(f"<li><a href=x>go {k}</a>" for k in range(4))
+    assert html_extract.extract(f"<ul>{menu}</ul><p>{body}</p><ul>{menu}</ul>") == body.strip()
+
+
 def test_broken_pages():
     for page, want in ((None, ""), ("", ""), ("<p", ""), ("plain", "plain"), ("<b>a < b</b>", "a < b"), ("<!--", ""), ("<article><p>x", "x"), ("a" * 200_000, "a" * 200_000), ('<p title="a>b">t', "t")):
         assert html_extract.extract(page) == want, page
