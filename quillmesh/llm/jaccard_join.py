@@ -26,6 +26,12 @@ partners differ by no more of the other shingles than of all. A set that is left
 with too few has signatures over all its shingles as well. Which shingles are frequent
 is counted over all documents in blocks and handed out as a bitmap of bounded size.
 
+The components need no pair within one of them. ``counted`` asks for every document's
+number of links: all pairs of different sets of a class are then verified, in pairs of
+blocks of about CLASS_BLOCK sets dealt out by hash, each a product of matrices in a
+worker. A set goes out once for every block of its class, and pairs never become rows,
+but the work does grow with the square of a class's different sets.
+
 Exactness: shingles and signatures are 64-bit hashes of whole words; set ids are
 checked for collisions by a second hash, and all is hashed anew if one occurs.
 
@@ -58,6 +64,8 @@ FEW = 3
 SKETCH = 8
 #: Members up to which a bucket's pairs are listed at once; leaders of a larger one in the first round, and their growth.
 SMALL, LEADERS, GROWTH = 16, 4, 4
+#: Sets in a block, where all pairs of a class are counted, and shingles of a block counted at a time.
+CLASS_BLOCK, COLUMNS = 256, 4096
 #: Bytes of text hashed at a time.
 PIECE = 1 << 20
 #: A shingle is frequent from so many sets on, as far as blocks of BLOCK shingles show it LOCAL times or more; at most
@@ -407,14 +415,77 @@ def _link_all(ranked: DataFrame, links: _Links) -> None:
         many, lo, hi = many.drop("label"), hi, hi + (hi - lo) * GROWTH
 
 
-def jaccard_components(docs: DataFrame, kind: Similarity = Similarity(), doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+def _linked_weights(hashes: list[np.ndarray], block: np.ndarray, same: bool, copies: np.ndarray, kind: Similarity) -> np.ndarray:
+    """The copies of all sets that each set links with, of the ``same`` block or else of the other one."""
+    size = np.array([len(h) for h in hashes])
+    at = np.repeat(np.arange(len(hashes)), size)
+    _, column, times = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    at, column = at[shared], column[shared]
+    order = np.argsort(column, kind="stable")
+    at, column = at[order], column[order]
+    both = np.zeros((len(hashes), len(hashes)))
+    start = 0
+    while start < len(column):
+        end = int(np.searchsorted(column, column[start] + COLUMNS))
+        part = np.zeros((len(hashes), COLUMNS), np.float32)
+        part[at[start:end], column[start:end] - column[start]] = 1
+        both += part @ part.T
+        start = end
+    linked = kind.den * both >= kind.num * (size[:, None] + size[None, :] - both)
+    linked &= ~np.eye(len(hashes), dtype=bool) if same else block[:, None] != block[None, :]
+    return linked @ copies
+
+
+def _counted(kind: Similarity) -> Callable:
+    """node and its links, of rows that come sorted by their pair of blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def found() -> pa.RecordBatch:
+            hashes = [x[2].view(np.uint64) for x in held]
+            links = _linked_weights(hashes, np.array([x[1] for x in held]), key[1] == key[2], np.array([x[3] for x in held]), kind)
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in held], pa.int64()), pa.array(links.astype(np.int64))], ["node", "links"])
+
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("label", "one", "two", "node", "block", "copies")]
+            for k, (label, one, two, node, block, copies) in enumerate(zip(*columns, strict=True)):
+                if held and key != (label, one, two):
+                    yield found()
+                    held.clear()
+                key = (label, one, two)
+                held.append((node, block, batch.column("hashes")[k].values.to_numpy().copy(), copies))
+        if held:
+            yield found()
+
+    return releasing(run)
+
+
+def _link_counts(labelled: DataFrame, hashes: DataFrame, kind: Similarity) -> DataFrame:
+    """of_node, links: the documents with other sets that link with a document of the set; none of classes of one set."""
+    several = labelled.groupBy(F.col("label").alias("class")).agg(F.ceil(F.count("*") / CLASS_BLOCK).cast("int").alias("blocks"), F.count("*").alias("sets"))
+    members = labelled.join(several.filter("sets > 1"), F.col("label") == F.col("class"))
+    members = members.select("label", "node", "copies", "blocks", F.pmod(F.col("node"), F.col("blocks")).cast("int").alias("block"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pair = {"one": F.least("block", "other"), "two": F.greatest("block", "other")}
+    sent = members.withColumns(pair).select("label", "one", "two", "node", "block", "copies").join(hashes.select("node", "hashes"), "node")
+    sent = sent.repartition("label", "one", "two").sortWithinPartitions("label", "one", "two")
+    counts = sent.mapInArrow(_counted(kind), "node bigint, links bigint")
+    return scratch.table(counts.groupBy(F.col("node").alias("of_node")).agg(F.sum("links").alias("links")), "join-counts")
+
+
+def jaccard_components(
+    docs: DataFrame, kind: Similarity = Similarity(), doc_id: str = "doc_id", text: str = "text", counted: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """(located docs, classes): the classes have row, doc_id, n_shingles, component_id and class_key (null for a
-    document without links) for every row; the docs carry the same locator in ``__qm_row``."""
+    document without links) for every row, and n_links, the number of other documents that it links with, if ``counted``;
+    the docs carry the same locator in ``__qm_row``."""
     with scratch.conf(docs.sparkSession, BATCH):
-        return _jaccard_components(docs, kind, doc_id, text)
+        return _jaccard_components(docs, kind, doc_id, text, counted)
 
 
-def _jaccard_components(docs: DataFrame, kind: Similarity, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+def _jaccard_components(docs: DataFrame, kind: Similarity, doc_id: str, text: str, counted: bool) -> tuple[DataFrame, DataFrame]:
     located = scratch.with_row_locator(docs)
     rows = located.select(F.col(doc_id).alias("doc_id"), F.col("__qm_row").alias("row"), F.col(text).alias("text"))
     kinds = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in ("doc_id", "row"))
@@ -456,7 +527,13 @@ def _jaccard_components(docs: DataFrame, kind: Similarity, doc_id: str, text: st
         F.col("n").alias("n_shingles"),
         F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
         F.col("label").alias("class_key"),
+        *(["node"] if counted else []),
     )
+    if counted:
+        links = nodes.select(F.col("node").alias("same"), "copies").join(_link_counts(labelled, hashes, kind), F.col("same") == F.col("of_node"), "left")
+        links = links.select("same", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")).filter("n_links > 0")
+        links = scratch.bounded(scratch.table(links, "join-links-of"))
+        classes = classes.join(links, F.col("node") == F.col("same"), "left").drop("node", "same").fillna(0, ["n_links"])
     return located, classes
 
 

@@ -61,6 +61,11 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "n_shingles", "component_id")
 
 
+def op6_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, classes = jaccard_components(documents(spark, sf_dir), Similarity(words=3, num=90, den=100, cells=2, margin=0.1), counted=True)
+    return classes.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op7_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = ShardStore(spark, scratch.new_path(spark, "shards"))
     schema = documents(spark, sf_dir).schema
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_frequency": op4_line_frequency,
     "op5_language_id": op5_language_id,
     "op6_jaccard_join": op6_jaccard_join,
+    "op6_jaccard_links": op6_jaccard_links,
     "op7_compaction": op7_compaction,
     "op8_bpe_chunks": op8_bpe_chunks,
     "op9_pairwise_quality": op9_pairwise_quality,
@@ -172,6 +178,14 @@ def jaccard_sql(words: int = 3, num: int = 90, den: int = 100) -> str:
     SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM d LEFT JOIN n USING (rid) JOIN c USING (rid)"""
 
 
+def jaccard_links_sql() -> str:
+    """The classes, and the pairs that link counted for each row."""
+    ctes, found = jaccard_sql().rsplit("\n", 1)
+    return f"""{ctes},
+    k AS (SELECT a AS rid, count(*) AS n_links FROM e GROUP BY a)
+    {found.replace("component_id FROM", "component_id, coalesce(n_links, 0) AS n_links FROM")} LEFT JOIN k USING (rid)"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": """WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
     g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS n FROM d GROUP BY t)
@@ -181,5 +195,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_line_frequency": f"""WITH {quality_sql()}
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, removed_words, kept FROM verdict""",
     "op6_jaccard_join": jaccard_sql(),
+    "op6_jaccard_links": jaccard_links_sql(),
     "op10_secret_scan": secret_sql(),
 }

@@ -328,6 +328,20 @@ def test_join_finds_every_link(spark, seed, length, kind):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in classes.collect()} == brute_components(rows, kind)
 
 
+@pytest.mark.parametrize("block", [jaccard_join.CLASS_BLOCK, 3, 1])
+def test_links_of_each_document(spark, block, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "CLASS_BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "COLUMNS", 16)
+    rows = near_copies(4, 150, 60) + [(900, None, "en", "a"), (901, "", "en", "a")]
+    kind = jaccard_join.Similarity(3, 80, 100)
+    _, classes = jaccard_join.jaccard_components(documents(spark, rows), kind, counted=True)
+    sets = shingle_sets(rows, kind.words)
+    both = lambda a, b: len(a & b) and kind.den * len(a & b) >= kind.num * len(a | b)
+    want = {i: sum(bool(both(a, b)) for j, b in sets if j != i) for i, a in sets}
+    got = {r["doc_id"]: r["n_links"] for r in classes.collect()}
+    assert got == want and max(want.values()) > 3
+
+
 def test_partners_share_a_signature():
     rng = np.random.default_rng(5)
     empty = np.zeros(jaccard_join.MAP_BITS // 8, np.uint8)
