@@ -101,6 +101,11 @@ def quality_rules(
 ) -> DataFrame:
     """One row per row of ``docs``: row, doc_id, n_words, the base counts, base_failed, removed_words, kept. ``row`` names
     a column that tells rows apart; without one, rows are numbered."""
+    return _judged(docs, doc_id, text, host, limits, row)[0]
+
+
+def _judged(docs: DataFrame, doc_id: str, text: str, host: str, limits: LineLimits, row: str | None) -> tuple[DataFrame, DataFrame]:
+    """(verdicts, removed lines): the lines have row, line and words, one row per line that goes."""
     base = _base(docs, doc_id, text, host, F.col(row) if row else F.monotonically_increasing_id())
     slim = scratch.table(base, "quality-base")
 
@@ -118,15 +123,15 @@ def quality_rules(
     )
     above = scratch.bounded(scratch.table(above, "quality-lines"))
 
-    removed = (
+    gone = (
         held.join(above, (F.col("line") == F.col("above_line")) & F.col("host").eqNullSafe(F.col("above_host")))
         .filter(~F.col("doc_id").eqNullSafe(F.col("first_id")))
-        .groupBy(F.col("row").alias("removed_row"))
-        .agg(F.sum("words").cast("long").alias("removed"))
+        .select("row", "line", "words")
     )
+    removed = gone.groupBy(F.col("row").alias("removed_row")).agg(F.sum("words").cast("long").alias("removed"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     left = F.col("n_words") - F.col("removed_words")
-    return (
+    verdicts = (
         slim.drop("lines")
         .join(removed, F.col("row") == F.col("removed_row"), "left")
         .withColumn("removed_words", F.coalesce("removed", F.lit(0).cast("long")))
@@ -143,6 +148,8 @@ def quality_rules(
             (~failed & (left >= F.lit(limits.min_left) * F.col("n_words"))).alias("kept"),
         )
     )
+    return verdicts, gone
+
 
 
 def passing(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", limits: LineLimits = LineLimits()) -> DataFrame:
@@ -152,3 +159,19 @@ def passing(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: s
     gone = scratch.table(verdicts.filter("not kept").select(F.col("row").alias("gone")), "quality-gone")
     stay = located.join(scratch.bounded(gone), F.col("__qm_row") == F.col("gone"), "left_anti")
     return stay.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def cleaned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", limits: LineLimits = LineLimits()) -> DataFrame:
+    """The rows of ``docs`` that pass, with the columns of ``docs`` and their texts without the lines that are removed."""
+    located = scratch.with_row_locator(docs)
+    verdicts, gone = _judged(located, doc_id, text, host, limits, "__qm_row")
+    rejected = scratch.table(verdicts.filter("not kept").select(F.col("row").alias("gone")), "quality-gone")
+    lines = gone.groupBy(F.col("row").alias("__qm_of")).agg(F.collect_set("line").alias("__qm_lines"))
+    stay = located.join(scratch.bounded(rejected), F.col("__qm_row") == F.col("gone"), "left_anti")
+    stay = stay.join(scratch.table(lines, "quality-removed"), F.col("__qm_row") == F.col("__qm_of"), "left")
+    left = F.filter(
+        F.split(_text.whole(F.col(f"`{text}`")), "\n"),
+        lambda x: ~(x.rlike(_text.WORD) & F.array_contains("__qm_lines", F.xxhash64(_normalised(x)))),
+    )
+    kept = F.when(F.col("__qm_lines").isNull(), F.col(f"`{text}`")).otherwise(F.array_join(left, "\n")).alias(text)
+    return stay.select(*[kept if c == text else F.col(f"`{c}`") for c in docs.columns])

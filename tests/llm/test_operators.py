@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from quillmesh import scratch
 from quillmesh.llm import bpe_chunks, exact_dedup, html_extract, jaccard_join, language_id, mixing, pairwise_quality, queries, secret_scan
 from quillmesh.llm.components import components
-from quillmesh.llm.quality_rules import LineLimits, passing, quality_rules
+from quillmesh.llm.quality_rules import LineLimits, cleaned, passing, quality_rules
 from quillmesh.llm.sharding import ShardStore
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -243,6 +243,13 @@ def test_copies_count_once(spark):
     assert all(r["kept"] for r in got)
 
 
+def test_lines_leave_the_texts(spark):
+    own = lambda i: "\n".join(" ".join(f"d{i}k{k}{c}" for c in "abcdef") for k in range(10))
+    rows = [(i, own(i) + (f"\n\n All  rights RESERVED.\nend{i}" if i <= 22 else ""), "en", "h") for i in range(1, 601)]  # 22 of 600, under 5 %
+    got = {r["doc_id"]: r["text"] for r in cleaned(documents(spark, rows), limits=LineLimits(host_share=0.0)).collect()}
+    assert got == {i: t if i == 1 else t.replace("\n All  rights RESERVED.", "") for i, t, *_ in rows}
+
+
 # 5
 
 
