@@ -15,7 +15,7 @@ from quillmesh.llm.exact_dedup import exact_dedup
 from quillmesh.llm.html_extract import extract_pages
 from quillmesh.llm.jaccard_join import Similarity, jaccard_components
 from quillmesh.llm.sharding import ShardStore
-from quillmesh.llm.quality_rules import MAX_REPEATED_PERCENT, MIN_WORDS, LineLimits, quality_rules
+from quillmesh.llm.quality_rules import MAX_REPEATED_PERCENT, MIN_WORDS, LineLimits, cleaned, quality_rules
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +49,14 @@ def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Over 20 distinct texts of a host, whatever its size.
+ANY_HOST = LineLimits(host_share=0.0)
+
+
+def op4_line_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaned(documents(spark, sf_dir), limits=ANY_HOST).select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = language_id.fit(docs.filter(_linear.learnable(F.col("doc_id"))))
@@ -93,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_html_extract": op3_html_extract,
     "op4_line_frequency": op4_line_frequency,
+    "op4_line_removal": op4_line_removal,
     "op5_language_id": op5_language_id,
     "op6_jaccard_join": op6_jaccard_join,
     "op6_jaccard_links": op6_jaccard_links,
@@ -186,6 +195,16 @@ def jaccard_links_sql() -> str:
     {found.replace("component_id FROM", "component_id, coalesce(n_links, 0) AS n_links FROM")} LEFT JOIN k USING (rid)"""
 
 
+def line_removal_sql(limits: LineLimits = ANY_HOST) -> str:
+    """The texts of rows that are kept, line by line without those above the limit."""
+    return rf"""WITH {quality_sql(limits=limits)},
+    z AS (SELECT rid, host, doc_id, unnest(string_split(t, chr(10))) AS l, unnest(range(len(string_split(t, chr(10))))) AS i FROM d),
+    y AS (SELECT *, lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'), ' ')) AS k FROM z),
+    o AS (SELECT rid, string_agg(l, chr(10) ORDER BY i) AS text FROM y LEFT JOIN above a
+        ON y.k = a.k AND y.host IS NOT DISTINCT FROM a.host AND y.doc_id IS DISTINCT FROM a.first_id WHERE a.k IS NULL GROUP BY rid)
+    SELECT v.doc_id, d.host AS source, coalesce(o.text, '') AS text FROM verdict v JOIN d USING (rid) LEFT JOIN o USING (rid) WHERE kept"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": """WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
     g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS n FROM d GROUP BY t)
@@ -194,6 +213,7 @@ ORACLE_SQL: dict[str, str] = {
     FROM d JOIN g USING (t)""",
     "op4_line_frequency": f"""WITH {quality_sql()}
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, removed_words, kept FROM verdict""",
+    "op4_line_removal": line_removal_sql(),
     "op6_jaccard_join": jaccard_sql(),
     "op6_jaccard_links": jaccard_links_sql(),
     "op10_secret_scan": secret_sql(),
