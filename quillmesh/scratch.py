@@ -10,12 +10,16 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows up to which a key table of some 50 bytes a row may be broadcast (about 10 MB); beyond it joins shuffle.
-BROADCAST_ROWS = 200_000
+#: Rows and bytes of row content up to which a table may be broadcast; beyond either, joins shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 16 << 20
 
 _made: dict[str, list[str]] = {}
 
@@ -48,7 +52,19 @@ def table(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.scratch_path = path
+    return back
+
+
+def free(*tables: DataFrame | None) -> None:
+    """Deletes tables that ``table`` made and nothing reads any more: all that was derived from them has been written."""
+    for df in tables:
+        path = getattr(df, "scratch_path", None) if df is not None else None
+        made = _made.get(df.sparkSession.sparkContext.applicationId, []) if path else []
+        if path in made:
+            made.remove(path)
+            delete(df.sparkSession, path)
 
 
 @contextmanager
@@ -75,27 +91,53 @@ def release(spark: SparkSession) -> None:
         delete(spark, path)
 
 
-def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``rows`` rows, else unchanged (the join then shuffles).
+def _width(kind: T.DataType, c: Column) -> Column:
+    """Bytes that a value takes in a row, about."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 8
+    if isinstance(kind, T.StructType):
+        return reduce(add, [_width(f.dataType, c.getField(f.name)) for f in kind.fields], F.lit(8))
+    if isinstance(kind, T.ArrayType):
+        each = 8 if isinstance(kind.elementType, T.NumericType) else 64
+        return F.coalesce(F.size(c), F.lit(0)) * each + 16
+    return F.lit(8)
+
 
-    ``df`` should be a written table: it is counted here.
+def bounded(df: DataFrame, rows: int | None = None, size: int | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``rows`` rows of ``size`` bytes together, else unchanged (the join
+    then shuffles).
+
+    ``df`` should be a written table: it is counted and measured here.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    rows = BROADCAST_ROWS if rows is None else rows
+    size = BROADCAST_BYTES if size is None else size
+    width = reduce(add, [_width(f.dataType, F.col(f"`{f.name}`")) for f in df.schema.fields], F.lit(16))
+    n, held = df.limit(rows + 1).agg(F.count("*"), F.sum(width.cast("long"))).first()
+    return F.broadcast(df) if n <= rows and (held or 0) <= size else df
+
+
+def free_name(base: str, *frames: DataFrame) -> str:
+    """``base``, lengthened until no column of ``frames`` has that name in any case."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
 
 
 def with_row_locator(df: DataFrame, name: str = "__qm_row") -> DataFrame:
     """Adds the place of each row in its file, ``struct(file, pos)``: an identity that repeated ids can't blur.
 
-    A frame that isn't a plain file scan is written to the shared folder first.
+    ``name`` must be free (``free_name`` finds one). A frame that isn't a plain file scan is written to the shared
+    folder first.
     """
     try:
         return _located(df, name)
-    except Exception as e:
-        if "_metadata" not in str(e):
-            raise
-    return _located(table(df, "rows"), name)
+    except AnalysisException:
+        return _located(table(df, "rows"), name)
 
 
 def _located(df: DataFrame, name: str) -> DataFrame:
-    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("pos"))
-    return df.select("*", at.alias(name))
+    of = df.metadataColumn("_metadata")  # whatever columns of that name the table has itself
+    located = df.select("*", F.struct(of.getField("file_path").alias("file"), of.getField("row_index").alias("pos")).alias(name))
+    located.schema  # noqa: B018  resolved here
+    return located
