@@ -3,20 +3,22 @@
 Documents are sets of word shingles. Sets are banded by size; sets of a band (and those
 of the next that are small enough) whose similarity reaches the threshold differ in at
 most k shingles. The shingle domain is partitioned by hash into n1 parts, and each part
-into cells. As n1 exceeds k // 2, two such sets differ by at most one shingle in some
-part, so they agree on all of its cells but one: every subset of all cells but one of
-every part is a signature, and the two share one. What shares a signature is a
-candidate, and is verified on the whole sets.
-
-Scale. Sets that are equal are one node. A bucket of a signature is never expanded into
-all pairs at once: first every node is compared with its least bucket mate, and
-components are formed; then only members of different components are paired, all in
-buckets of up to SMALL members, and with the first 4 members as leaders in larger
-ones, then with the next 16, and so on, until no bucket holds two components with an
-untested pair. So near copies that are linked cost few comparisons each, and no link
-between components is lost. Size and sketch, which bound the similarity from above,
-are compared first: in large buckets as a condition of the join, so that only
-pairs that pass become rows.
+into n2 cells. As n1 exceeds k / (d + 1), two such sets differ by at most d shingles in
+some part, so they agree on all of its cells but d: every subset of n2 - d cells of every
+part is a signature, and the two share one. What shares a signature is a candidate, and
+is verified on the whole sets.
+
+Scale. Sets that are equal are one node. Near copies share most of their signatures, so
+pairs are never listed by signature. First every node is compared with the least node of
+its buckets, and components are formed. Then only members of different components are
+paired. Buckets of up to SMALL members become arrays of (node, component); those of one
+component are left behind, and equal ones are one. Larger buckets are merged by their
+least node: partners still meet, and a node is there once, however many signatures it
+shares. There the members outside of the largest component are compared with a few
+members drawn by hash, and, once components have grown by that, with all the members of
+other components. Size and sketch, which bound the similarity from above, are compared as
+a condition of the join, so that only pairs that pass become rows. Whole sets are hashed
+and moved for the nodes of such pairs alone.
 
 There are more parts than needed, by a margin. Signatures of very few shingles are left
 out by sets in which no more parts than the margin have one; agreeing signatures
@@ -24,7 +26,10 @@ have the same shingles on both sides, so two partners still share another. Shing
 a passage that very many documents share are kept out of the signatures altogether:
 partners differ by no more of the other shingles than of all. A set that is left
 with too few has signatures over all its shingles as well. Which shingles are frequent
-is counted over all documents in blocks and handed out as a bitmap of bounded size.
+is counted over all documents in blocks and handed out as a bitmap of fixed size.
+
+The rows of one signature (16 bytes a set) meet in one task, which reads them sorted and
+passes those of a big bucket on in pieces, so that none is held in memory.
 
 The components need no pair within one of them. ``counted`` asks for every document's
 number of links: all pairs of different sets of a class are then verified, in pairs of
@@ -32,12 +37,15 @@ blocks of about CLASS_BLOCK sets dealt out by hash, each a product of matrices i
 worker. A set goes out once for every block of its class, and pairs never become rows,
 but the work does grow with the square of a class's different sets.
 
-Exactness: shingles and signatures are 64-bit hashes of whole words; set ids are
-checked for collisions by a second hash, and all is hashed anew if one occurs.
+Exactness: a shingle is the 64-bit hash of its whole words, and a set is what its hashes
+are: two different shingles of one table are one with a probability of their number squared
+over 2^65. Ids of sets are checked for collisions by a second hash, and all is hashed
+anew if one occurs.
 
 Defined results: null and empty texts have no shingles and link with nothing; texts of
 fewer words than a shingle are one shingle; repeated rows are linked to each other; null
-ids never name a component unless there is no other; other columns are ignored.
+ids never name a component unless there is no other; other columns are ignored; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -51,7 +59,7 @@ from operator import add
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmesh import scratch
@@ -62,15 +70,17 @@ from quillmesh.llm.components import components
 FEW = 3
 #: 64-bit words of a sketch.
 SKETCH = 8
-#: Members up to which a bucket's pairs are listed at once; leaders of a larger one in the first round, and their growth.
-SMALL, LEADERS, GROWTH = 16, 4, 4
+#: Members up to which a bucket is one array; members drawn of a merged one.
+SMALL, DRAWN = 16, 4
+#: Buckets and members of big ones that a task remembers to have given.
+REMEMBERED = 300_000
 #: Sets in a block, where all pairs of a class are counted, and shingles of a block counted at a time.
 CLASS_BLOCK, COLUMNS = 256, 4096
 #: Bytes of text hashed at a time.
 PIECE = 1 << 20
-#: A shingle is frequent from so many sets on, as far as blocks of BLOCK shingles show it LOCAL times or more; at most
-#: FREQUENT of them are known to all workers, as a bitmap of MAP_BITS bits.
-SPREAD, LOCAL, BLOCK, FREQUENT, MAP_BITS = 100, 4, 1 << 21, 1 << 20, 1 << 25
+#: A shingle is frequent from so many sets on, as far as blocks of BLOCK shingles show it LOCAL times or more; all
+#: workers know them as a bitmap of MAP_BITS bits.
+SPREAD, LOCAL, BLOCK, MAP_BITS = 100, 4, 1 << 21, 1 << 25
 
 _U = np.uint64
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -82,14 +92,15 @@ _BLANK[[9, 10, 11, 12, 13, 32]] = True
 class Similarity:
     """Sets link when den * intersection >= num * union; shingles of ``words`` words.
 
-    ``cells`` of a part, and ``margin``, parts beyond the least number as a share of it, decide on the work, not on the
-    links: the lower the threshold, the fewer shingles a part has, and the more parts lack some."""
+    ``cells`` of a part, ``apart``, the cells of a part that a signature leaves out, and ``margin``, parts beyond the least
+    number as a share of it, decide on the work, not on the links: with more cells signatures are longer, and more."""
 
     words: int = 5
     num: int = 8
     den: int = 10
-    cells: int = 2
-    margin: float = 0.25
+    cells: int = 3
+    apart: int = 1
+    margin: float = 0.15
     seed: int = 1
 
 
@@ -165,13 +176,14 @@ def parts_of(band: int, kind: Similarity) -> tuple[int, int]:
     """(n1, spare): parts of the band, and how many more they are than needed, which a set may do without."""
     top = int(band_edges(kind.num, kind.den)[band + 1]) - 1
     k = (top + top * kind.den // kind.num) * (kind.den - kind.num) // (kind.den + kind.num)
-    spare = int(np.ceil(kind.margin * (k // 2 + 1))) if k else 0
-    return k // 2 + 1 + spare, spare
+    needed = k // (kind.apart + 1) + 1
+    spare = int(np.ceil(kind.margin * needed)) if k else 0
+    return needed + spare, spare
 
 
 @lru_cache(maxsize=8)
-def _subsets(cells: int) -> list[list[int]]:
-    return [list(s) for s in combinations(range(cells), cells - 1)]
+def _subsets(cells: int, apart: int) -> list[list[int]]:
+    return [list(s) for s in combinations(range(cells), cells - apart)]
 
 
 def signatures(h: np.ndarray, band: int, kind: Similarity, salt: int, whole: bool) -> tuple[bool, np.ndarray]:
@@ -181,22 +193,30 @@ def signatures(h: np.ndarray, band: int, kind: Similarity, salt: int, whole: boo
     (n1, spare), cells = parts_of(band, kind), kind.cells
     cell = (h >> _U(32)) % _U(n1) * _U(cells) + (h & _U(0xFFFFFFFF)) % _U(cells)
     cell = cell.astype(np.int64)
+    order = np.argsort(cell, kind="stable")
+    counts = np.bincount(cell, minlength=n1 * cells)
     sums = np.zeros(n1 * cells, np.uint64)
-    if len(h):
-        order = np.argsort(cell, kind="stable")
-        used, first = np.unique(cell[order], return_index=True)
-        sums[used] = np.add.reduceat(mix(h ^ _U(0xA0761D6478BD642F))[order], first)
-    counts = np.bincount(cell, minlength=n1 * cells).reshape(n1, cells)
+    used = np.flatnonzero(counts)
+    if len(used):
+        sums[used] = np.add.reduceat(mix(h ^ _U(0xA0761D6478BD642F))[order], (np.cumsum(counts) - counts)[used])
     scrambled = mix(sums + np.arange(1, n1 * cells + 1, dtype=np.uint64) * _U(0xE7037ED1A0B428DB)).reshape(n1, cells)
-    subsets = _subsets(cells)
-    value = np.stack([scrambled[:, s].sum(1, dtype=np.uint64) for s in subsets], 1)
-    held = np.stack([counts[:, s].sum(1) for s in subsets], 1)
+    counts = counts.reshape(n1, cells)
+    if kind.apart == 1:  # all cells but one
+        value = scrambled.sum(1, dtype=np.uint64)[:, None] - scrambled
+        held = counts.sum(1)[:, None] - counts
+    else:
+        subsets = _subsets(cells, kind.apart)
+        value = np.stack([scrambled[:, s].sum(1, dtype=np.uint64) for s in subsets], 1)
+        held = np.stack([counts[:, s].sum(1) for s in subsets], 1)
     # the most that the set can spare; of two partners the one that leaves out more bounds what both lose
-    keep = next((held > f for f in range(FEW, -1, -1) if (held <= f).any(1).sum() <= spare), None)
-    wanting = keep is None
+    least = np.sort(held.min(1))
+    f = int(least[spare]) - 1 if spare < len(least) else FEW  # more than ``spare`` parts have a signature of ``f`` + 1 at most
+    wanting = f < 0
     if wanting:
         keep = np.ones_like(held, bool) if whole else held > 0
-    return wanting, np.unique(mix(value + _U(2 * band + salt))[keep])
+    else:
+        keep = held > min(f, FEW)
+    return wanting, mix(value + _U(2 * band + salt))[keep]
 
 
 def all_signatures(h: np.ndarray, frequent: np.ndarray, kind: Similarity) -> np.ndarray:
@@ -239,9 +259,10 @@ def set_ids(h: np.ndarray) -> tuple[int, int]:
     return tuple(_signed(mix(np.array([one + _U(len(h)), two]))).tolist())
 
 
-_SETS = "n bigint, node bigint, node2 bigint, often array<struct<shingle:bigint,times:bigint>>"
+_SKETCH = [f"s{k}" for k in range(SKETCH)]
+_SETS = f"n bigint, node bigint, node2 bigint, {', '.join(f'{c} bigint' for c in _SKETCH)}, often array<struct<shingle:bigint,times:bigint>>"
 _OFTEN = pa.list_(pa.struct([("shingle", pa.int64()), ("times", pa.int64())]))
-_HASHES = "node bigint, size bigint, " + ", ".join(f"s{k} bigint" for k in range(SKETCH)) + ", hashes array<bigint>"
+_HASHES = "node bigint, hashes array<bigint>"
 
 
 def _sets(kind: Similarity) -> Callable:
@@ -256,33 +277,39 @@ def _sets(kind: Similarity) -> Callable:
             block.clear()
             return [{"shingle": v, "times": t} for v, t in zip(_signed(values[times >= LOCAL]).tolist(), times[times >= LOCAL].tolist(), strict=True)]
 
-        keys = None
+        keys: list = []
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 piece = batch.slice(at, 1000)
-                n, node, node2 = [], [], []
-                for text in piece.column("text"):
+                n, node, node2, sketches = [], [], [], np.zeros((piece.num_rows, SKETCH), np.int64)
+                for k, text in enumerate(piece.column("text")):
                     h = shingles(text.as_py(), kind)
                     one, two = set_ids(h) if len(h) else (None, None)
                     n.append(len(h))
                     node.append(one)
                     node2.append(two)
+                    sketches[k] = sketch(h)
                     if one is not None and one not in seen:
                         seen.add(one)
                         block.append(h)
                 keys = [piece.column("doc_id"), piece.column("row")]
-                yield _set_rows(keys, n, node, node2, [None] * len(n))
+                yield _set_rows(keys, n, node, node2, sketches, [None] * len(n))
                 if sum(map(len, block)) >= BLOCK:
-                    yield _set_rows([k.slice(0, 1) for k in keys], [-1], [None], [None], [often()])
+                    yield _often_row(keys, often())
         if block:
-            yield _set_rows([k.slice(0, 1) for k in keys], [-1], [None], [None], [often()])
+            yield _often_row(keys, often())
 
     return releasing(run)
 
 
-def _set_rows(keys: list, n: list, node: list, node2: list, often: list) -> pa.RecordBatch:
-    columns = [*keys, pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(node2, pa.int64()), pa.array(often, _OFTEN)]
-    return pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n", "node", "node2", "often"])
+def _set_rows(keys: list, n: list, node: list, node2: list, sketches: np.ndarray, often: list) -> pa.RecordBatch:
+    columns = [*keys, pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(node2, pa.int64())]
+    columns += [pa.array(sketches[:, k]) for k in range(SKETCH)] + [pa.array(often, _OFTEN)]
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n", "node", "node2", *_SKETCH, "often"])
+
+
+def _often_row(keys: list, often: list) -> pa.RecordBatch:
+    return _set_rows([k.slice(0, 1) for k in keys], [-1], [None], [None], np.zeros((1, SKETCH), np.int64), [often])
 
 
 def _signed_sets(kind: Similarity, frequent: Broadcast) -> Callable:
@@ -307,81 +334,164 @@ def _signed_sets(kind: Similarity, frequent: Broadcast) -> Callable:
 
 
 def frequent_shingles(sets: DataFrame) -> Broadcast:
-    """A bitmap of the shingles that many sets have. It only decides which signatures are used, never what links."""
+    """A bitmap of the shingles that many sets have. It only decides which signatures are used, never what links.
+
+    What comes to the driver are its words that aren't 0: MAP_BITS / 64 of them at most."""
     often = sets.filter("often is not null").select(F.explode("often").alias("o"))
     sums = often.groupBy("o.shingle").agg(F.sum("o.times").alias("times")).filter(F.col("times") >= SPREAD)
-    top = sums.orderBy(F.desc("times"), "shingle").limit(FREQUENT).select("shingle")
-    hashes = np.array([r[0] for r in top.collect()], np.int64).view(np.uint64)
-    return sets.sparkSession.sparkContext.broadcast(_bitmap(hashes))
+    bit = F.shiftrightunsigned("shingle", 20) % MAP_BITS
+    words = sums.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / 64).alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("word"))
+    found = words.toArrow()
+    bitmap = np.zeros(MAP_BITS // 64, np.int64)
+    bitmap[found.column("at").to_numpy()] = found.column("word").to_numpy()
+    return sets.sparkSession.sparkContext.broadcast(bitmap.view(np.uint8))
 
 
 def _hashes(kind: Similarity) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                rows = [shingles(t.as_py(), kind) for t in batch.column("text").slice(at, 500)]
-                sketches = np.stack([sketch(h) for h in rows]) if rows else np.empty((0, SKETCH), np.int64)
-                columns = {"node": batch.column("node").slice(at, 500), "size": pa.array(map(len, rows), pa.int64())}
-                columns |= {f"s{k}": pa.array(sketches[:, k]) for k in range(SKETCH)}
-                columns["hashes"] = pa.array([_signed(h) for h in rows], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+                rows = [_signed(shingles(t.as_py(), kind)) for t in batch.column("text").slice(at, 500)]
+                yield pa.RecordBatch.from_arrays([batch.column("node").slice(at, 500), pa.array(rows, pa.list_(pa.int64()))], ["node", "hashes"])
 
     return releasing(run)
 
 
-def _memberships(each: DataFrame) -> DataFrame:
-    """sig, node, rank, head (the least node) and members of the signatures that several nodes have.
-
-    One exchange by signature serves all of it."""
-    each = each.repartition("sig")
-    shared = each.groupBy("sig").agg(F.min("node").alias("head"), F.max("node").alias("most")).filter("head < most")
-    found = each.join(shared, "sig").groupBy("sig", "node").agg(F.first("head").alias("head"))  # a semi-join would move below the exchange
-    bucket = Window.partitionBy("sig")
-    rank, members = F.row_number().over(bucket.orderBy("node")), F.count("*").over(bucket)
-    return scratch.table(found.select("sig", "node", rank.alias("rank"), "head", members.alias("members")), "join-buckets")
+_BUCKETS = "head bigint, nodes array<bigint>, big boolean"
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """head (the least node) and nodes of the signatures that several nodes have, of rows that come sorted by signature
+    and node; a bucket of more than SMALL members is big, and comes in pieces. What a task has given before, it leaves out."""
+    told: dict = {}
+    held_sig = held_node = np.empty(0, np.int64)
+    open_sig = open_head = None  # a big bucket whose pieces have begun
+
+    def rows(heads: list[int], nodes: list[np.ndarray], big: bool) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(heads, pa.int64()), pa.array(nodes, pa.list_(pa.int64())), pa.array([big] * len(heads))], ["head", "nodes", "big"])
+
+    def piece(head: int, nodes: np.ndarray) -> pa.RecordBatch | None:
+        given = told.setdefault(head, set())
+        new = [x for x in nodes.tolist() if x not in given]
+        given.update(new)
+        return rows([head], [new], True) if new else None
+
+    def settled(sig: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Of whole buckets."""
+        fresh = np.append(True, (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])) if len(sig) else np.empty(0, bool)
+        sig, node = sig[fresh], node[fresh]
+        first = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])) if len(sig) else np.empty(0, np.int64)
+        size = np.diff(first, append=len(sig))
+        for m in np.unique(size[(size > 1) & (size <= SMALL)]).tolist():
+            members = np.unique(node[first[size == m][:, None] + np.arange(m)], axis=0)
+            new = [x for x in members if x.tobytes() not in told]
+            told.update((x.tobytes(), None) for x in new)
+            if new:
+                yield rows([int(x[0]) for x in new], new, False)
+        for k in np.flatnonzero(size > SMALL).tolist():
+            out = piece(int(node[first[k]]), node[first[k] : first[k] + size[k]])
+            if out:
+                yield out
+
+    for batch in batches:
+        if sum(1 if v is None else len(v) for v in told.values()) > REMEMBERED:
+            told.clear()
+        sig, node = batch.column("sig").to_numpy(), batch.column("node").to_numpy()
+        if open_sig is not None:
+            end = int(np.searchsorted(sig, open_sig, "right"))
+            out = piece(open_head, node[:end])
+            if out:
+                yield out
+            sig, node = sig[end:], node[end:]
+            if not len(sig):
+                continue
+            open_sig = None
+        sig, node = np.concatenate([held_sig, sig]), np.concatenate([held_node, node])
+        if not len(sig):
+            continue
+        end = int(np.searchsorted(sig, sig[-1]))  # the last bucket may go on
+        yield from settled(sig[:end], node[:end])
+        held_sig, held_node = sig[end:], node[end:]
+        if len(np.unique(held_node[: 2 * SMALL])) > SMALL:
+            open_sig, open_head = int(held_sig[0]), int(held_node[0])
+            out = piece(open_head, np.unique(held_node))
+            if out:
+                yield out
+            held_sig = held_node = np.empty(0, np.int64)
+    yield from settled(held_sig, held_node)
+
+
+def _buckets(each: DataFrame) -> DataFrame:
+    """What ``_gathered`` finds in one exchange by signature."""
+    with scratch.conf(each.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "32768"}):
+        return scratch.table(each.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(releasing(_gathered), _BUCKETS), "join-buckets")
+
+
+class _Sets:
+    """The shingle hashes of nodes, found when they are first asked for and written once."""
+
+    def __init__(self, rows: DataFrame, nodes: DataFrame, kind: Similarity) -> None:
+        self.rows, self.places, self.kind = rows, nodes.select("node", F.col("row").alias("at")), kind
+        self.known: list[DataFrame] = []
+
+    def of(self, wanted: DataFrame) -> DataFrame:
+        """node, hashes for the distinct nodes of the written table ``wanted``."""
+        wanted = scratch.bounded(wanted)
+        new = self.places.join(wanted, "node", "left_semi")
+        for known in self.known:
+            new = new.join(known, "node", "left_anti")
+        new = scratch.table(new, "join-chosen")
+        texts = self.rows.join(scratch.bounded(new), F.col("row") == F.col("at")).select("node", "text")
+        self.known.append(scratch.table(texts.mapInArrow(_hashes(self.kind), _HASHES), "join-hashes"))
+        scratch.free(new)
+        return reduce(DataFrame.unionByName, self.known).join(wanted, "node", "left_semi")
 
 
 class _Links:
     """Verifies candidate pairs and keeps the components that the links form."""
 
-    def __init__(self, hashes: DataFrame, nodes: DataFrame, kind: Similarity) -> None:
-        self.hashes, self.sketches, self.kind = hashes, hashes.drop("hashes"), kind
+    def __init__(self, sets: _Sets, nodes: DataFrame, kind: Similarity) -> None:
+        """``nodes``: a written table of node, size and sketch."""
+        self.sets, self.brief, self.kind = sets, nodes, kind
         self.labels = scratch.table(nodes.select("node", F.col("node").alias("label")), "join-labels")
         self.tested: DataFrame | None = None
 
-    def mixed(self, ranked: DataFrame) -> DataFrame | None:
-        """The memberships, with labels, of buckets in which several components meet; None without any."""
-        labelled = ranked.join(scratch.bounded(self.labels), "node")
-        bucket = Window.partitionBy("sig")
-        ends = {"p_": F.min("label").over(bucket), "q_": F.max("label").over(bucket)}
-        left = scratch.table(labelled.withColumns(ends).filter("p_ < q_").drop("p_", "q_"), "join-mixed")
-        return left if left.limit(1).count() else None
+    def labelled(self, members: DataFrame) -> DataFrame:
+        return members.join(scratch.bounded(self.labels), "node")
 
     def sketched(self, members: DataFrame) -> DataFrame:
-        return members.join(scratch.bounded(self.sketches), "node")
+        return members.join(scratch.bounded(self.brief), "node")
+
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose sizes and sketches allow a link."""
+        of = lambda c: scratch.bounded(self.brief).select(*[F.col(x).alias(f"{c}_{x}") for x in self.brief.columns])
+        both = pairs.join(of("b"), F.col("b") == F.col("b_node")).join(of("a"), F.col("a") == F.col("a_node"))
+        return both.filter(_near(self.kind, "a_", "b_")).select("a", "b")
 
     def test(self, pairs: DataFrame) -> None:
-        """Forms components with the links among ``pairs`` (a, b)."""
-        pairs = scratch.table(pairs, "join-pairs")
-        words = [f"s{k}" for k in range(SKETCH)]
-        of = lambda c, *names: self.hashes.select(F.col("node").alias(c), *[F.col(x).alias(f"{c}_{x}") for x in names])
-        num, den = self.kind.num, self.kind.den
-        brief = lambda c: scratch.bounded(of(c, "size", *words))
-        left = pairs.join(brief("b"), "b").join(brief("a"), "a").filter(_near(self.kind, "a_", "b_")).select("a", "b")
-        left = scratch.table(left, "join-near")
-        n, m, both = F.size("a_hashes"), F.size("b_hashes"), F.size(F.array_intersect("a_hashes", "b_hashes"))
-        linked = den * both >= num * (n + m - both)
-        links = left.join(of("b", "hashes"), "b").join(of("a", "hashes"), "a").filter(linked).select("a", "b")
-        links = scratch.table(links, "join-links")
-        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
-        if not links.limit(1).count():
+        """Forms components with the links among the ``pairs`` (a, b) that weren't tested before."""
+        pairs = pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        if self.tested is not None:
+            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
+        pairs = scratch.table(pairs, "join-near")
+        if not pairs.limit(1).count():
             return
-        label = lambda c: self.labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
-        edges = links.join(label("a"), "a").join(label("b"), "b").select(F.col("a_label").alias("u"), F.col("b_label").alias("v"))
-        roots = components(edges).select(F.col("node").alias("label"), "root")
-        self.labels = scratch.table(
-            self.labels.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("label")), "join-labels"
-        )
+        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
+        nodes = scratch.table(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "join-tested")
+        hashes = self.sets.of(nodes)
+        of = lambda c: hashes.select(F.col("node").alias(c), F.col("hashes").alias(f"{c}_hashes"))
+        n, m, both = F.size("a_hashes"), F.size("b_hashes"), F.size(F.array_intersect("a_hashes", "b_hashes"))
+        linked = self.kind.den * both >= self.kind.num * (n + m - both)
+        links = scratch.table(pairs.join(of("b"), "b").join(of("a"), "a").filter(linked).select("a", "b"), "join-links")
+        if links.limit(1).count():
+            label = lambda c: scratch.bounded(self.labels).select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
+            edges = links.join(label("a"), "a").join(label("b"), "b").select(F.col("a_label").alias("u"), F.col("b_label").alias("v"))
+            found = components(edges)
+            roots = scratch.bounded(found).select(F.col("node").alias("label"), "root")
+            before = self.labels
+            self.labels = scratch.table(before.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("label")), "join-labels")
+            scratch.free(before, found)
+        scratch.free(links, nodes)
 
 
 def _near(kind: Similarity, p: str, q: str) -> Column:
@@ -392,27 +502,58 @@ def _near(kind: Similarity, p: str, q: str) -> Column:
     return sized & ((kind.den + kind.num) * bits <= (kind.den - kind.num) * (n + m))
 
 
-def _link_all(ranked: DataFrame, links: _Links) -> None:
-    nearest = ranked.filter("rank > 1").groupBy(F.col("node").alias("b")).agg(F.min("head").alias("a"))
-    links.test(nearest.select("a", "b"))
-    ranked = ranked.drop("head")
+def _small_pairs(few: DataFrame, links: _Links) -> DataFrame:
+    """Pairs of different components in buckets (a written table of bucket and nodes) of up to SMALL members."""
+    of = links.labelled(few.select("bucket", F.explode("nodes").alias("node"))).groupBy("bucket")
+    of = of.agg(F.min("label").alias("p_"), F.max("label").alias("q_"), F.collect_set(F.struct("node", "label")).alias("m")).filter("p_ < q_")
+    apart = lambda x: F.filter("m", lambda y: (y["node"] > x["node"]) & (y["label"] != x["label"]))
+    pairs = F.flatten(F.transform("m", lambda x: F.transform(apart(x), lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))))
+    return of.select(F.explode(pairs).alias("x")).select("x.a", "x.b").distinct()
 
-    few = links.mixed(ranked.filter(F.col("members") <= SMALL))
-    if few is not None:
-        lead = few.select("sig", F.col("node").alias("a"), F.col("label").alias("a_label"), F.col("rank").alias("a_rank"))
-        pairs = lead.join(few, "sig").filter((F.col("rank") > F.col("a_rank")) & (F.col("label") != F.col("a_label")))
-        links.test(pairs.select("a", F.col("node").alias("b")).distinct().join(links.tested, ["a", "b"], "left_anti"))
 
-    many, lo, hi = ranked.filter(F.col("members") > SMALL), 1, 1 + LEADERS
-    while (many := links.mixed(many.filter(F.col("members") > lo))) is not None:  # a bucket of one component stays one
-        left = links.sketched(many)
-        lead = left.filter((F.col("rank") >= lo) & (F.col("rank") < hi))
-        lead = lead.select(F.col("sig").alias("of"), *[F.col(c).alias(f"a_{c}") for c in left.columns if c not in ("sig", "members")])
-        apart = (F.col("rank") > F.col("a_rank")) & (F.col("label") != F.col("a_label"))
-        pairs = left.join(lead, (F.col("sig") == F.col("of")) & apart & _near(links.kind, "", "a_"))
-        pairs = pairs.select(F.col("a_node").alias("a"), F.col("node").alias("b")).distinct()
-        links.test(pairs.join(links.tested, ["a", "b"], "left_anti"))
-        many, lo, hi = many.drop("label"), hi, hi + (hi - lo) * GROWTH
+def _mixed(merged: DataFrame, links: _Links) -> DataFrame:
+    """head, node, label and main (the largest component of the bucket) of merged buckets in which components meet."""
+    labelled = links.labelled(merged)
+    parts = labelled.groupBy("head", "label").agg(F.count("*").alias("n"))
+    largest = parts.groupBy(F.col("head").alias("of")).agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("parts"))
+    return scratch.table(labelled.join(largest.filter("parts > 1"), F.col("head") == F.col("of")).select("head", "node", "label", "main"), "join-mixed")
+
+
+def _drawn_pairs(mixed: DataFrame) -> DataFrame:
+    """The members outside of the main component, each with DRAWN members of its bucket."""
+    member = F.struct("node", "label")
+    picks = [F.min_by(member, F.xxhash64("node", F.lit(k))).alias(f"d{k}") for k in range(DRAWN)]
+    drawn = mixed.groupBy(F.col("head").alias("of")).agg(F.array_distinct(F.array(*[p for p in picks])).alias("drawn"))
+    pairs = mixed.filter("label <> main").join(drawn, F.col("head") == F.col("of")).select("node", "label", F.explode("drawn").alias("d"))
+    return pairs.filter(F.col("label") != F.col("d.label")).select(F.col("node").alias("a"), F.col("d.node").alias("b")).distinct()
+
+
+def _all_pairs_apart(mixed: DataFrame, links: _Links) -> DataFrame:
+    """All near pairs of different components of a merged bucket, one of them outside of its main component."""
+    left = links.sketched(mixed)
+    lead = left.filter("label <> main").select(F.col("head").alias("of"), *[F.col(c).alias(f"a_{c}") for c in ("node", "label", "size", *_SKETCH)])
+    once = (F.col("label") == F.col("main")) | (F.col("node") > F.col("a_node"))
+    near = (F.col("head") == F.col("of")) & (F.col("label") != F.col("a_label")) & once & _near(links.kind, "", "a_")
+    return lead.join(left, near).select(F.col("a_node").alias("a"), F.col("node").alias("b")).distinct()
+
+
+def _link_all(buckets: DataFrame, links: _Links) -> None:
+    if not buckets.limit(1).count():
+        return
+    met = buckets.select("head", F.explode("nodes").alias("node"))
+    nearest = met.filter("node <> head").groupBy(F.col("node").alias("b")).agg(F.min("head").alias("a"))
+    links.test(links.near(nearest.select("a", "b")))
+
+    merged = scratch.table(buckets.filter("big").select("head", F.explode("nodes").alias("node")).distinct(), "join-merged")
+    few = scratch.table(buckets.filter("not big").select("nodes").distinct().withColumn("bucket", F.monotonically_increasing_id()), "join-few")
+    scratch.free(buckets)
+    mixed = _mixed(merged, links)
+    links.test(links.near(_small_pairs(few, links).unionByName(_drawn_pairs(mixed)).distinct()))
+    scratch.free(few, mixed)
+
+    mixed = _mixed(merged, links)
+    links.test(_all_pairs_apart(mixed, links))
+    scratch.free(mixed, merged)
 
 
 def _linked_weights(hashes: list[np.ndarray], block: np.ndarray, same: bool, copies: np.ndarray, kind: Similarity) -> np.ndarray:
@@ -462,10 +603,11 @@ def _counted(kind: Similarity) -> Callable:
     return releasing(run)
 
 
-def _link_counts(labelled: DataFrame, hashes: DataFrame, kind: Similarity) -> DataFrame:
+def _link_counts(labelled: DataFrame, sets: _Sets, kind: Similarity) -> DataFrame:
     """of_node, links: the documents with other sets that link with a document of the set; none of classes of one set."""
     several = labelled.groupBy(F.col("label").alias("class")).agg(F.ceil(F.count("*") / CLASS_BLOCK).cast("int").alias("blocks"), F.count("*").alias("sets"))
     members = labelled.join(several.filter("sets > 1"), F.col("label") == F.col("class"))
+    hashes = sets.of(scratch.table(members.select("node"), "join-classes"))
     members = members.select("label", "node", "copies", "blocks", F.pmod(F.col("node"), F.col("blocks")).cast("int").alias("block"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pair = {"one": F.least("block", "other"), "two": F.greatest("block", "other")}
@@ -475,19 +617,25 @@ def _link_counts(labelled: DataFrame, hashes: DataFrame, kind: Similarity) -> Da
     return scratch.table(counts.groupBy(F.col("node").alias("of_node")).agg(F.sum("links").alias("links")), "join-counts")
 
 
+def locator(docs: DataFrame) -> str:
+    """The column that holds the row locator of the located docs."""
+    return scratch.free_name("__qm_row", docs)
+
+
 def jaccard_components(
     docs: DataFrame, kind: Similarity = Similarity(), doc_id: str = "doc_id", text: str = "text", counted: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """(located docs, classes): the classes have row, doc_id, n_shingles, component_id and class_key (null for a
     document without links) for every row, and n_links, the number of other documents that it links with, if ``counted``;
-    the docs carry the same locator in ``__qm_row``."""
+    the docs carry the same locator in the column that ``locator`` names."""
     with scratch.conf(docs.sparkSession, BATCH):
         return _jaccard_components(docs, kind, doc_id, text, counted)
 
 
 def _jaccard_components(docs: DataFrame, kind: Similarity, doc_id: str, text: str, counted: bool) -> tuple[DataFrame, DataFrame]:
-    located = scratch.with_row_locator(docs)
-    rows = located.select(F.col(doc_id).alias("doc_id"), F.col("__qm_row").alias("row"), F.col(text).alias("text"))
+    row = locator(docs)
+    located = scratch.with_row_locator(docs, row)
+    rows = located.select(F.col(doc_id).alias("doc_id"), F.col(row).alias("row"), F.col(text).alias("text"))
     kinds = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in ("doc_id", "row"))
     while True:
         found = scratch.table(rows.mapInArrow(_sets(kind), f"{kinds}, {_SETS}"), "join-sets")
@@ -498,23 +646,24 @@ def _jaccard_components(docs: DataFrame, kind: Similarity, doc_id: str, text: st
             F.count("*").alias("copies"),
             F.min("node2").alias("p"),
             F.max("node2").alias("q"),
+            F.min("n").alias("size"),
+            *[F.min(c).alias(c) for c in _SKETCH],
         )
         nodes = scratch.table(nodes, "join-nodes")
         if not nodes.filter("p <> q").limit(1).count():
             break
+        scratch.free(found, nodes)
         kind = replace(kind, seed=kind.seed + 1)
 
     frequent = frequent_shingles(found)
     each = rows.select("text").mapInArrow(_signed_sets(kind, frequent), "node bigint, sig bigint")
-    ranked = _memberships(each)
-    active = scratch.table(ranked.select("node").distinct(), "join-active")
-    chosen = scratch.table(nodes.join(active, "node", "left_semi").select("node", F.col("row").alias("at")), "join-chosen")
-    texts = rows.join(scratch.bounded(chosen), F.col("row") == F.col("at")).select("node", "text")
-    hashes = scratch.table(texts.mapInArrow(_hashes(kind), _HASHES), "join-hashes")
-    links = _Links(hashes, active, kind)
-    _link_all(ranked, links)
-
-    labelled = nodes.select("node", "least_id", "copies").join(links.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    buckets = _buckets(each)
+    active = scratch.table(nodes.join(buckets.select(F.explode("nodes").alias("node")).distinct(), "node", "left_semi").select("node", "size", *_SKETCH), "join-active")
+    hashed = _Sets(rows, nodes, kind)
+    links = _Links(hashed, active, kind)
+    _link_all(buckets, links)
+
+    labelled = nodes.select("node", "least_id", "copies").join(scratch.bounded(links.labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
     labelled = scratch.table(labelled, "join-labelled")
     least = labelled.groupBy("label").agg(F.min("least_id").alias("component"), F.sum("copies").alias("members")).filter("members > 1")
     named = labelled.join(least, "label").select(F.col("node").alias("named"), "component", "label")
@@ -530,7 +679,7 @@ def _jaccard_components(docs: DataFrame, kind: Similarity, doc_id: str, text: st
         *(["node"] if counted else []),
     )
     if counted:
-        links = nodes.select(F.col("node").alias("same"), "copies").join(_link_counts(labelled, hashes, kind), F.col("same") == F.col("of_node"), "left")
+        links = nodes.select(F.col("node").alias("same"), "copies").join(_link_counts(labelled, hashed, kind), F.col("same") == F.col("of_node"), "left")
         links = links.select("same", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")).filter("n_links > 0")
         links = scratch.bounded(scratch.table(links, "join-links-of"))
         classes = classes.join(links, F.col("node") == F.col("same"), "left").drop("node", "same").fillna(0, ["n_links"])
@@ -541,9 +690,10 @@ def without_near_duplicates(docs: DataFrame, kind: Similarity = Similarity(), do
     """The rows of ``docs`` without links and, of each class, the one with the smallest id (the first by locator of
     rows that repeat it), with the columns of ``docs``."""
     located, classes = jaccard_components(docs, kind, doc_id, text)
+    row, off = locator(docs), scratch.free_name("__qm_gone", docs)
     linked = scratch.table(classes.filter("class_key is not null").select("class_key", "doc_id", "row"), "join-linked")
     first = linked.groupBy("class_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
     gone = linked.join(first.select(F.col("first.row").alias("stays")), F.col("row") == F.col("stays"), "left_anti")
-    gone = scratch.bounded(scratch.table(gone.select(F.col("row").alias("gone")), "join-gone"))
-    stay = located.join(gone, F.col("__qm_row") == F.col("gone"), "left_anti")
+    gone = scratch.bounded(scratch.table(gone.select(F.col("row").alias(off)), "join-gone"))
+    stay = located.join(gone, F.col(row) == F.col(off), "left_anti")
     return stay.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -53,7 +53,7 @@ def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 ANY_HOST = LineLimits(host_share=0.0)
 
 
-def op4_line_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned(documents(spark, sf_dir), limits=ANY_HOST).select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
 
 
@@ -64,13 +64,17 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", _linear.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+#: What the contract of the Jaccard join asks for: three words, 90 of 100.
+OP6 = Similarity(words=3, num=90, den=100, cells=3, apart=1, margin=0.1)
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, classes = jaccard_components(documents(spark, sf_dir), Similarity(words=3, num=90, den=100, cells=2, margin=0.1))
+    _, classes = jaccard_components(documents(spark, sf_dir), OP6)
     return classes.select("doc_id", "n_shingles", "component_id")
 
 
-def op6_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, classes = jaccard_components(documents(spark, sf_dir), Similarity(words=3, num=90, den=100, cells=2, margin=0.1), counted=True)
+def jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, classes = jaccard_components(documents(spark, sf_dir), OP6, counted=True)
     return classes.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
@@ -101,10 +105,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_html_extract": op3_html_extract,
     "op4_line_frequency": op4_line_frequency,
-    "op4_line_removal": op4_line_removal,
+    "line_removal": line_removal,
     "op5_language_id": op5_language_id,
     "op6_jaccard_join": op6_jaccard_join,
-    "op6_jaccard_links": op6_jaccard_links,
+    "jaccard_links": jaccard_links,
     "op7_compaction": op7_compaction,
     "op8_bpe_chunks": op8_bpe_chunks,
     "op9_pairwise_quality": op9_pairwise_quality,
@@ -213,8 +217,8 @@ ORACLE_SQL: dict[str, str] = {
     FROM d JOIN g USING (t)""",
     "op4_line_frequency": f"""WITH {quality_sql()}
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, removed_words, kept FROM verdict""",
-    "op4_line_removal": line_removal_sql(),
+    "line_removal": line_removal_sql(),
     "op6_jaccard_join": jaccard_sql(),
-    "op6_jaccard_links": jaccard_links_sql(),
+    "jaccard_links": jaccard_links_sql(),
     "op10_secret_scan": secret_sql(),
 }

@@ -328,7 +328,7 @@ def near_copies(seed, n, length):
 
 
 @pytest.mark.parametrize("seed,length", [(1, 8), (2, 40), (3, 200)])
-@pytest.mark.parametrize("kind", [jaccard_join.Similarity(3, 90, 100, 3), jaccard_join.Similarity(), jaccard_join.Similarity(2, 60, 100, 4)])
+@pytest.mark.parametrize("kind", [queries.OP6, jaccard_join.Similarity(), jaccard_join.Similarity(2, 60, 100, 4, 2)])
 def test_join_finds_every_link(spark, seed, length, kind):
     rows = near_copies(seed, 150, length)
     _, classes = jaccard_join.jaccard_components(documents(spark, rows), kind)
@@ -352,7 +352,7 @@ def test_links_of_each_document(spark, block, monkeypatch):
 def test_partners_share_a_signature():
     rng = np.random.default_rng(5)
     empty = np.zeros(jaccard_join.MAP_BITS // 8, np.uint8)
-    for kind in (jaccard_join.Similarity(), jaccard_join.Similarity(3, 90, 100, 3)):
+    for kind in (jaccard_join.Similarity(), queries.OP6, jaccard_join.Similarity(3, 70, 100, 5, 3)):
         for _ in range(300):
             h = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 400), dtype=np.uint64))
             keep = int(np.ceil(len(h) * kind.num / kind.den))
