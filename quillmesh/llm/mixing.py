@@ -20,7 +20,7 @@ it is small. The few global windows run over that plan.
 
 Defined results: null text has size 0; a null source is a source, last in order;
 repeated rows get equal copies, and then the target is met as nearly as the
-repeats allow; an empty table gives no rows; other columns are ignored.
+repeats allow; sources that tie are stopped together; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ CAP = 2
 #: Newton ends at this relative distance from the targets, or after this many iterations.
 TOLERANCE = 1e-9
 MAX_ITERATIONS = 60
+#: Sums of words are taken in whole fractions of a word, so that their order doesn't matter and reruns agree.
+FRACTIONS = float(1 << 20)
 #: Cuts a source; buckets and rounds of the search for each: 2 / BUCKETS**ROUNDS is the last bucket's width.
 PASSES, BUCKETS, ROUNDS = 3, 4096, 2
 
@@ -61,8 +63,9 @@ def source_targets(sources: DataFrame, weights: tuple = WEIGHTS, share: float =
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     onward = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     budget = F.lit(float(share)) * F.sum("source_size").over(everything)
+    d = d.withColumn("place", F.row_number().over(order))
     d = d.withColumn("level", (budget - F.coalesce(F.sum("stop").over(before), F.lit(0.0))) / F.sum("weight").over(onward))
-    first = F.min(F.when(F.col("level") < F.col("at"), F.struct(F.col("at"), F.col("source"), F.col("level")))).over(everything)
+    first = F.min(F.when(F.col("level") < F.col("at"), F.struct("place", "level"))).over(everything)  # by the order of the levels, ties included
     d = d.withColumn("level", F.coalesce(first["level"], F.lit(float("inf"))))
     return d.withColumn("target", F.least("stop", F.col("level") * F.col("weight"))).select(*sources.columns, "target")
 
@@ -98,12 +101,13 @@ def multipliers(hist: DataFrame, plan: DataFrame, hint: Hint, cap: float = CAP)
     state = state.withColumn("lo", F.lit(float("-inf"))).withColumn("hi", F.lit(float("inf")))
     state = scratch.table(state, "mix-dual")
     words, z = F.col("n") * F.col("size"), F.col("size") / F.col("mean_size")
+    exact = lambda c: F.sum((c * FRACTIONS).cast("decimal(38,0)")).cast("double") / FRACTIONS  # noqa: E731  in whatever order rows come
     for _ in range(MAX_ITERATIONS):
         w = _rate(cap)
         sums = (
             _of_source(hist, state.filter("free"), hint)
             .groupBy(F.col("source").alias("of"))
-            .agg(F.sum(words * w).alias("got"), F.sum(words * z * w * (1 - w / float(cap))).alias("slope"))
+            .agg(exact(words * w).alias("got"), exact(words * z * w * (1 - w / float(cap))).alias("slope"))
         )
         over = F.col("got") > F.col("target")
         step = F.greatest(F.least((F.col("got") - F.col("target")) / F.col("slope"), F.lit(4.0)), F.lit(-4.0))
@@ -121,7 +125,9 @@ def multipliers(hist: DataFrame, plan: DataFrame, hint: Hint, cap: float = CAP)
             .select(*state.columns, "off")
         )
         moved = scratch.table(moved, "mix-dual")
-        state = moved.drop("off")
+        before, state = state, moved.drop("off")
+        scratch.free(before)
+        state.scratch_path = moved.scratch_path
         if not moved.filter(F.col("off") > TOLERANCE).limit(1).count():
             break
     return state.drop("free", "lo", "hi")
