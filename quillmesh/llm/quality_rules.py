@@ -3,18 +3,24 @@
 A document first has to pass two rules on its own text (enough words, few
 repeated 3-word windows). Then every line is normalised and hashed, the distinct
 documents that hold it are counted per host, and lines above the limit are
-removed; a document of which too little is left is depleted and rejected.
+removed; a document of which too little is left, by its own share or for the rule
+on words, is depleted and rejected.
 
 Scale: the text is read once, into a slim written table (counts and 8-byte line
 hashes). Distinct documents are counted by text digest, so a thousand exact
 copies count as one, and the count is two partial aggregations: a line that is in
-a third of all documents costs each map task one row. Of the documents that
-share a line above the limit the one with the smallest id keeps it, so shared
-content never vanishes from the corpus.
+a third of all documents costs each map task one row. Of the texts that share a
+line above the limit the one with the smallest id keeps it, so shared content never
+vanishes from the corpus. A text that stands in several hosts loses what any of them
+removes, so that equal texts stay equal. What is removed is found where lines above a
+limit are: texts move nowhere.
+
+Exactness: lines and texts are told apart by 64-bit hashes.
 
 Defined results: a null or empty text has no words and fails the base rules; a
 null host is a host of its own; repeated rows each get their verdict; columns
-besides the three named ones are ignored, whatever their names.
+besides the three named ones are ignored, whatever their names; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -35,11 +41,13 @@ MAX_REPEATED_PERCENT = 50
 
 @dataclass(frozen=True)
 class LineLimits:
-    """A line is above the limit in a host if over ``min_docs`` distinct documents and over ``host_share`` of the
-    host's distinct documents hold it; a document is depleted if under ``min_left`` of its words are left."""
+    """A line is above the limit in a host if over ``min_docs`` distinct documents hold it, or over ``least`` and
+    ``host_share`` of the host's distinct documents; a document is depleted if under ``min_left`` of its words, or fewer
+    than MIN_WORDS, are left."""
 
     min_docs: int = 20
     host_share: float = 0.05
+    least: int = 3
     min_left: float = 0.3
 
 
@@ -53,7 +61,6 @@ def _base(docs: DataFrame, doc_id: str, text: str, host: str, row: Column) -> Da
         F.filter(F.split("text", "\n"), lambda x: x.rlike(_text.WORD)).alias("lines"),
     )
     size = F.size("w")
-    cut = lambda k: F.slice(F.col("w"), F.lit(k), F.greatest(size - 2, F.lit(0)))
     d = d.select(
         "row",
         "doc_id",
@@ -64,22 +71,28 @@ def _base(docs: DataFrame, doc_id: str, text: str, host: str, row: Column) -> Da
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         _lines(F.col("lines")).alias("lines"),
-        F.when(
-            size >= 3,
-            F.sort_array(F.arrays_zip(cut(1).alias("a"), cut(2).alias("b"), cut(3).alias("c"), F.sequence(F.lit(0), size - 3).alias("at"))),
-        ).alias("sorted"),
+        "w",
+        F.when(size >= 3, F.sort_array(F.transform(F.sequence(F.lit(0), size - 3), _window))).alias("sorted"),
     )
-    # equal windows stand side by side once sorted
+    # windows of one hash stand side by side once sorted; they are equal if their words are
     m = F.greatest(F.size("sorted") - 1, F.lit(0))
-    same = F.filter(
-        F.arrays_zip(F.slice("sorted", F.lit(1), m).alias("x"), F.slice("sorted", F.lit(2), m).alias("y")),
-        lambda p: (p["x"]["c"] == p["y"]["c"]) & (p["x"]["b"] == p["y"]["b"]) & (p["x"]["a"] == p["y"]["a"]),
-    )
-    d = d.withColumn("same", same).drop("sorted")
+    beside = F.arrays_zip(F.slice("sorted", F.lit(1), m).alias("x"), F.slice("sorted", F.lit(2), m).alias("y"))
+    alike = F.filter(beside, lambda p: p["x"]["h"] == p["y"]["h"])
+    same = F.filter(alike, lambda p: _word(p["x"], 0).eqNullSafe(_word(p["y"], 0)) & (_word(p["x"], 1) == _word(p["y"], 1)) & (_word(p["x"], 2) == _word(p["y"], 2)))
+    d = d.withColumn("same", same).drop("sorted", "w")
     at = F.flatten(F.transform("same", lambda p: F.array(*[p[k]["at"] + i for k in ("x", "y") for i in range(3)])))
     return d.withColumn("n_repeat_words", F.coalesce(F.size(F.array_distinct(at)), F.lit(0)).cast("long")).drop("same")
 
 
+def _window(k: Column) -> Column:
+    """The window of three words from place ``k`` on: its hash and place."""
+    return F.struct(F.xxhash64(*[F.get("w", k + i) for i in range(3)]).alias("h"), k.alias("at"))
+
+
+def _word(window: Column, i: int) -> Column:
+    return F.get("w", window["at"] + i)
+
+
 def _normalised(line: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")))
 
@@ -113,21 +126,26 @@ def _judged(docs: DataFrame, doc_id: str, text: str, host: str, limits: LineLimi
         "row", "doc_id", "host", "text_key", "l.line", "l.words"
     )
     by_text = held.groupBy("host", "line", "text_key").agg(F.min("doc_id").alias("first_id"))
-    spread = by_text.groupBy("host", "line").agg(F.count("*").alias("n"), F.min("first_id").alias("first_id"))
+    earliest = F.struct(F.col("first_id").isNull(), "first_id", "text_key")
+    spread = by_text.groupBy("host", "line").agg(F.count("*").alias("n"), F.min(earliest).alias("first"))
     of_host = slim.select("host", "text_key").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
+    many = (F.col("n") > limits.min_docs) | (F.col("n") > F.lit(limits.host_share) * F.col("host_docs"))
     above = (
-        spread.filter(F.col("n") > limits.min_docs)
+        spread.filter(F.col("n") > min(limits.least, limits.min_docs))
         .join(of_host.select(F.col("host").alias("h"), "host_docs"), F.col("host").eqNullSafe(F.col("h")))
-        .filter(F.col("n") > F.lit(limits.host_share) * F.col("host_docs"))
-        .select(F.col("host").alias("above_host"), F.col("line").alias("above_line"), "first_id")
+        .filter(many)
+        .select(F.col("host").alias("above_host"), F.col("line").alias("above_line"), F.col("first.text_key").alias("first_key"))
     )
     above = scratch.bounded(scratch.table(above, "quality-lines"))
 
-    gone = (
+    off = (
         held.join(above, (F.col("line") == F.col("above_line")) & F.col("host").eqNullSafe(F.col("above_host")))
-        .filter(~F.col("doc_id").eqNullSafe(F.col("first_id")))
-        .select("row", "line", "words")
+        .filter(F.col("text_key") != F.col("first_key"))
+        .select(F.col("text_key").alias("off_text"), F.col("line").alias("off_line"))
+        .distinct()
     )
+    off = scratch.bounded(scratch.table(off, "quality-off"))
+    gone = held.join(off, (F.col("text_key") == F.col("off_text")) & (F.col("line") == F.col("off_line"))).select("row", "line", "words")
     removed = gone.groupBy(F.col("row").alias("removed_row")).agg(F.sum("words").cast("long").alias("removed"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     left = F.col("n_words") - F.col("removed_words")
@@ -145,33 +163,24 @@ def _judged(docs: DataFrame, doc_id: str, text: str, host: str, limits: LineLimi
             "n_repeat_words",
             failed.alias("base_failed"),
             "removed_words",
-            (~failed & (left >= F.lit(limits.min_left) * F.col("n_words"))).alias("kept"),
+            (~failed & (left >= F.lit(limits.min_left) * F.col("n_words")) & (left >= MIN_WORDS)).alias("kept"),
         )
     )
     return verdicts, gone
 
 
-
-def passing(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", limits: LineLimits = LineLimits()) -> DataFrame:
-    """The rows of ``docs`` that pass, with the columns of ``docs`` and their texts as they were."""
-    located = scratch.with_row_locator(docs)
-    verdicts = quality_rules(located, doc_id, text, host, limits, row="__qm_row")
-    gone = scratch.table(verdicts.filter("not kept").select(F.col("row").alias("gone")), "quality-gone")
-    stay = located.join(scratch.bounded(gone), F.col("__qm_row") == F.col("gone"), "left_anti")
-    return stay.select(*[F.col(f"`{c}`") for c in docs.columns])
-
-
 def cleaned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", limits: LineLimits = LineLimits()) -> DataFrame:
     """The rows of ``docs`` that pass, with the columns of ``docs`` and their texts without the lines that are removed."""
-    located = scratch.with_row_locator(docs)
-    verdicts, gone = _judged(located, doc_id, text, host, limits, "__qm_row")
-    rejected = scratch.table(verdicts.filter("not kept").select(F.col("row").alias("gone")), "quality-gone")
-    lines = gone.groupBy(F.col("row").alias("__qm_of")).agg(F.collect_set("line").alias("__qm_lines"))
-    stay = located.join(scratch.bounded(rejected), F.col("__qm_row") == F.col("gone"), "left_anti")
-    stay = stay.join(scratch.table(lines, "quality-removed"), F.col("__qm_row") == F.col("__qm_of"), "left")
+    row, of, lines, off = (scratch.free_name(f"__qm_{x}", docs) for x in ("row", "of", "lines", "off"))
+    located = scratch.with_row_locator(docs, row)
+    verdicts, gone = _judged(located, doc_id, text, host, limits, row)
+    rejected = scratch.bounded(scratch.table(verdicts.filter("not kept").select(F.col("row").alias(off)), "quality-gone"))
+    stay = located.join(rejected, F.col(row) == F.col(off), "left_anti")
+    removed = scratch.table(gone.groupBy(F.col("row").alias(of)).agg(F.collect_set("line").alias(lines)), "quality-removed")
+    stay = stay.join(scratch.bounded(removed), F.col(row) == F.col(of), "left")
     left = F.filter(
         F.split(_text.whole(F.col(f"`{text}`")), "\n"),
-        lambda x: ~(x.rlike(_text.WORD) & F.array_contains("__qm_lines", F.xxhash64(_normalised(x)))),
+        lambda x: ~(x.rlike(_text.WORD) & F.array_contains(lines, F.xxhash64(_normalised(x)))),
     )
-    kept = F.when(F.col("__qm_lines").isNull(), F.col(f"`{text}`")).otherwise(F.array_join(left, "\n")).alias(text)
+    kept = F.when(F.col(lines).isNull(), F.col(f"`{text}`")).otherwise(F.array_join(left, "\n")).alias(text)
     return stay.select(*[kept if c == text else F.col(f"`{c}`") for c in docs.columns])

@@ -49,12 +49,8 @@ def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Over 20 distinct texts of a host, whatever its size.
-ANY_HOST = LineLimits(host_share=0.0)
-
-
 def line_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaned(documents(spark, sf_dir), limits=ANY_HOST).select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
+    return cleaned(documents(spark, sf_dir)).select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,18 +127,19 @@ def quality_sql(source: str = "documents", limits: LineLimits = LineLimits()) ->
         lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'), ' ')) AS k FROM raw WHERE regexp_matches(l, '{_W}')),
     dup AS (SELECT rid, count(*) - count(DISTINCT l) AS n FROM ln GROUP BY rid),
     hosts AS (SELECT host, count(DISTINCT t) AS n FROM d GROUP BY host),
-    spread AS (SELECT host, k, count(DISTINCT t) AS n, min(doc_id) AS first_id FROM ln GROUP BY host, k),
-    above AS (SELECT s.host, s.k, s.first_id FROM spread s JOIN hosts h ON s.host IS NOT DISTINCT FROM h.host
-        WHERE s.n > {limits.min_docs} AND s.n > {limits.host_share} * h.n),
-    gone AS (SELECT rid, sum(ln.n) AS n FROM ln JOIN above a ON ln.k = a.k AND ln.host IS NOT DISTINCT FROM a.host
-        WHERE ln.doc_id IS DISTINCT FROM a.first_id GROUP BY rid),
+    spread AS (SELECT host, k, count(DISTINCT t) AS n, arg_min(t, coalesce(doc_id, 9223372036854775807)) AS first_text FROM ln GROUP BY host, k),
+    above AS (SELECT s.host, s.k, s.first_text FROM spread s JOIN hosts h ON s.host IS NOT DISTINCT FROM h.host
+        WHERE s.n > {limits.min_docs} OR s.n > {limits.least} AND s.n > {limits.host_share} * h.n),
+    off AS (SELECT DISTINCT ln.t, ln.k FROM ln JOIN above a ON ln.k = a.k AND ln.host IS NOT DISTINCT FROM a.host WHERE ln.t <> a.first_text),
+    gone AS (SELECT rid, sum(ln.n) AS n FROM ln JOIN off ON ln.k = off.k AND ln.t = off.t GROUP BY rid),
     base AS (SELECT d.rid, d.doc_id, CAST(len(w.w) AS BIGINT) AS n_words,
         CAST(length(regexp_replace(d.t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
         CAST(length(d.t) - length(regexp_replace(d.t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
         CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
         CAST(coalesce(gone.n, 0) AS BIGINT) AS removed_words
         FROM d JOIN w USING (rid) LEFT JOIN dup USING (rid) LEFT JOIN rep USING (rid) LEFT JOIN gone USING (rid)),
-    verdict AS (SELECT *, base_failed = false AND n_words - removed_words >= {limits.min_left} * n_words AS kept
+    verdict AS (SELECT *, base_failed = false AND n_words - removed_words >= {limits.min_left} * n_words
+            AND n_words - removed_words >= {MIN_WORDS} AS kept
         FROM (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED_PERCENT} * n_words AS base_failed FROM base))"""
 
 
@@ -156,22 +153,24 @@ def secret_sql(limits: secrets.Ownership = secrets.Ownership()) -> str:
         for k, (name, p, group, least) in enumerate(secrets.KINDS)
     )
     n = len(secrets.BASE)
+    mixed = " AND ".join(f"regexp_matches(v, '{p}')" for p in secrets.MIXED)
     return f"""WITH
     d AS (SELECT row_number() OVER () AS rid, doc_id, source AS owner, coalesce(text, '') AS t FROM documents),
     c AS ({kinds}),
     e AS (SELECT rid, owner, t, kind, name, least, unnest(range(1, len(m) + 1)) AS i, m, v, gaps FROM c WHERE len(m) > 0),
     s AS (SELECT rid, owner, t, kind, name, least, v[i] AS v, length(m[i]) AS n,
         sum(length(gaps[i]) + length(m[i])) OVER (PARTITION BY rid, kind ORDER BY i) AS stop FROM e),
-    ok AS (SELECT *, stop - n AS start FROM s WHERE length(v) >= least),
+    ok AS (SELECT *, stop - n AS start FROM s WHERE length(v) >= least AND (name <> 'opaque' OR {mixed})),
     own AS (SELECT v, count(DISTINCT coalesce('s' || owner, 'n')) <= {limits.max_owners}
-        AND count(DISTINCT t) <= {limits.max_repositories} AS live FROM ok GROUP BY v),
+        OR count(DISTINCT t) <= {limits.max_repositories} AS live FROM ok GROUP BY v),
     j AS (SELECT ok.*, live, name || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS item FROM ok JOIN own USING (v)),
     a AS (SELECT rid, count(*) FILTER (kind = 0) AS n0, count(*) FILTER (kind = 1) AS n1, count(*) FILTER (kind = 2) AS n2,
         string_agg(item, ',' ORDER BY start, kind) FILTER (kind < {n}) AS base,
         string_agg(item, ',' ORDER BY start, kind) FILTER (kind < {n} OR live) AS spans,
+        string_agg(item, ',' ORDER BY start, kind) FILTER (live) AS live_spans,
         count(*) FILTER (live) AS nl, count(*) FILTER (NOT live) AS ne FROM j GROUP BY rid)
     SELECT doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex,
-        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(nl, 0) AS n_live, coalesce(ne, 0) AS n_example
+        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(live_spans, '') AS live_spans, coalesce(nl, 0) AS n_live, coalesce(ne, 0) AS n_example
     FROM d LEFT JOIN a USING (rid)"""
 
 
@@ -199,13 +198,12 @@ def jaccard_links_sql() -> str:
     {found.replace("component_id FROM", "component_id, coalesce(n_links, 0) AS n_links FROM")} LEFT JOIN k USING (rid)"""
 
 
-def line_removal_sql(limits: LineLimits = ANY_HOST) -> str:
+def line_removal_sql(limits: LineLimits = LineLimits()) -> str:
     """The texts of rows that are kept, line by line without those above the limit."""
     return rf"""WITH {quality_sql(limits=limits)},
-    z AS (SELECT rid, host, doc_id, unnest(string_split(t, chr(10))) AS l, unnest(range(len(string_split(t, chr(10))))) AS i FROM d),
+    z AS (SELECT rid, t, unnest(string_split(t, chr(10))) AS l, unnest(range(len(string_split(t, chr(10))))) AS i FROM d),
     y AS (SELECT *, lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'), ' ')) AS k FROM z),
-    o AS (SELECT rid, string_agg(l, chr(10) ORDER BY i) AS text FROM y LEFT JOIN above a
-        ON y.k = a.k AND y.host IS NOT DISTINCT FROM a.host AND y.doc_id IS DISTINCT FROM a.first_id WHERE a.k IS NULL GROUP BY rid)
+    o AS (SELECT rid, string_agg(l, chr(10) ORDER BY i) AS text FROM y LEFT JOIN off ON y.k = off.k AND y.t = off.t WHERE off.k IS NULL GROUP BY rid)
     SELECT v.doc_id, d.host AS source, coalesce(o.text, '') AS text FROM verdict v JOIN d USING (rid) LEFT JOIN o USING (rid) WHERE kept"""
 
 

@@ -1,10 +1,13 @@
 """Secret scan with corpus-wide ownership frequency, in DataFrame functions only.
 
-Candidates are found per document by pattern. Their values are hashed and
-aggregated over the whole corpus by distinct owners and distinct repositories: a
-value that many owners carry is a copied example, a value that stays with few
-owners looks live. Base candidates are always reported; candidates of the added
-kinds are reported where they look live.
+Candidates are found per document by pattern: the base kinds, and added ones (further
+keyed values, passwords in addresses, private key blocks, opaque tokens of mixed
+characters, and the forms of some services). Their values are hashed and aggregated over
+the whole corpus by distinct owners and distinct repositories: a value that several owners
+carry in several repositories is a copied example; one that stays with few owners looks
+live, in however many of their texts it is. Base candidates are always reported;
+candidates of the added kinds are reported where they look live. Which reported
+spans look live is told besides.
 
 Scale: one pass over the text yields a slim written table (lengths and 8-byte
 hashes of the few matches); offsets are running sums in a window per document and
@@ -20,6 +23,8 @@ count once towards ownership; other columns are ignored.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,28 +44,36 @@ BASE = (
     ("access", "AKIA[A-Z0-9]{14,}", 0, 18),
     ("hex", "[0-9a-f]{16,}", 0, 16),
 )
+KEYED = "(" + "|".join(_either_case(w) for w in ("pwd", "passphrase", "credentials?", "auth_?key", "private_?key", "access_?key", "client_?key")) + ")" + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ADDED = (
     ("github", "gh[pousr]_[A-Za-z0-9]{30,}", 0, 34),
     ("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 15),
     ("stripe", "[rs]k_live_[A-Za-z0-9]{16,}", 0, 24),
     ("google", "AIza[A-Za-z0-9_-]{30,}", 0, 34),
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 29),
+    ("keyed", KEYED, 2, 12),
+    ("address", r"[A-Za-z][A-Za-z0-9+.-]{1,19}://[^\x20\x09-\x0D:/@]{1,64}:([^\x20\x09-\x0D/@]{1,256})@", 1, 6),
+    ("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\x20\x09-\x0D]+-----END", 0, 60),
+    ("opaque", "[A-Za-z0-9+/_-]{24,}", 0, 24),
 )
+#: An opaque token has characters of all of these.
+MIXED = ("[0-9]", "[a-z]", "[A-Z]")
 KINDS = BASE + ADDED
 
 
 @dataclass(frozen=True)
 class Ownership:
-    """A value carried by more owners or repositories than this is a copied example."""
+    """A value carried by more owners and more repositories than this is a copied example."""
 
     max_owners: int = 2
-    max_repositories: int = 20
+    max_repositories: int = 2
 
 
 def _candidates(text: Column, matches: Column, kind: int) -> Column:
     """Matches of one kind as (kind, at, gap before, length, long enough, hash of the secret)."""
-    _, pattern, group, least = KINDS[kind]
+    name, pattern, group, least = KINDS[kind]
     secret = (lambda m: F.regexp_extract(m, pattern, group)) if group else (lambda m: m)
+    mixed = (lambda m: reduce(and_, [m.rlike(p) for p in MIXED])) if name == "opaque" else lambda m: F.lit(True)
     gaps = F.transform(F.split(text, pattern, -1), F.length)
     zipped = F.arrays_zip(matches.alias("m"), F.slice(gaps, F.lit(1), F.size(matches)).alias("gap"), F.sequence(F.lit(1), F.size(matches)).alias("at"))
     return F.transform(
@@ -70,7 +83,7 @@ def _candidates(text: Column, matches: Column, kind: int) -> Column:
             z["at"].alias("at"),
             z["gap"].alias("gap"),
             F.length(z["m"]).alias("len"),
-            (F.length(secret(z["m"])) >= least).alias("ok"),
+            ((F.length(secret(z["m"])) >= least) & mixed(z["m"])).alias("ok"),
             F.xxhash64(secret(z["m"])).alias("value"),
         ),
     )
@@ -103,14 +116,14 @@ def ownership(spans: DataFrame, limits: Ownership) -> DataFrame:
     owners, repositories = distinct("owner", "owners"), distinct("repository", "repositories")
     return owners.join(repositories, F.col("value_owners") == F.col("value_repositories")).select(
         F.col("value_owners").alias("of_value"),
-        ((F.col("owners") <= limits.max_owners) & (F.col("repositories") <= limits.max_repositories)).alias("live"),
+        ((F.col("owners") <= limits.max_owners) | (F.col("repositories") <= limits.max_repositories)).alias("live"),
     )
 
 
 def secret_scan(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source", limits: Ownership = Ownership()
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example."""
+    """One row per row of ``docs``: doc_id, n_assign, n_access, n_hex, base_sha256, spans, live_spans, n_live, n_example."""
     slim = scan(docs, doc_id, text, owner)
     each = slim.select("row", "owner", "repository", F.explode("found").alias("f")).select("row", "owner", "repository", "f.*")
     so_far = Window.partitionBy("row", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -134,6 +147,7 @@ def secret_scan(
             *[F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{name}") for k, (name, *_) in enumerate(BASE)],
             F.collect_list(F.when(base, item)).alias("base_spans"),
             F.collect_list(F.when(base | F.col("live"), item)).alias("all_spans"),
+            F.collect_list(F.when(F.col("live"), item)).alias("live_spans"),
             F.count(F.when(F.col("live"), 1)).alias("n_live"),
             F.count(F.when(~F.col("live"), 1)).alias("n_example"),
         )
@@ -142,6 +156,7 @@ def secret_scan(
             *[f"n_{name}" for name, *_ in BASE],
             joined(F.col("base_spans")).alias("base"),
             joined(F.col("all_spans")).alias("spans"),
+            joined(F.col("live_spans")).alias("live_spans"),
             "n_live",
             "n_example",
         )
@@ -152,6 +167,7 @@ def secret_scan(
         *[count(f"n_{name}") for name, *_ in BASE],
         F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"),
         F.coalesce("spans", F.lit("")).alias("spans"),
+        F.coalesce("live_spans", F.lit("")).alias("live_spans"),
         count("n_live"),
         count("n_example"),
     )
