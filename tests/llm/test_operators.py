@@ -514,6 +514,33 @@ def test_shared_passages_share_chunks():
     assert cut(b"") - set(range(200)) == cut(b"other words before ") - set(range(200)) and len(cut(b"")) > 5
 
 
+@given(st.lists(st.sampled_from(["the ", "quick", " ", "été ", "\n", "'ll ", "中文", "don't ", "  ", "123 ", ".", "\u2003 ", "x"]), min_size=500, max_size=1500), st.integers(4, 40))
+@settings(max_examples=40, deadline=None)
+def test_joins_agree_however_chunks_fall(tokenizer, parts, every):
+    """Chunks that are cut at any place give the ids of the whole text."""
+    coder = bpe_chunks.Codec(open(queries.tokenizer_path(), encoding="utf-8").read())
+    text = "".join(parts)
+    ends = np.flatnonzero((np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80)
+    before = bpe_chunks.cut_points
+    bpe_chunks.cut_points = lambda data: ends[every:-1:every] if data == text.encode() else before(data)
+    try:
+        ids, back = coder.encode(text)
+    finally:
+        bpe_chunks.cut_points = before
+    assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids and back.decode() == text
+
+
+def test_shared_chunks_are_encoded_once(spark):
+    rng = np.random.default_rng(2)
+    passage = " ".join(f"p{k}" for k in rng.integers(0, 10_000, 3000))
+    coder = bpe_chunks.Codec(open(queries.tokenizer_path(), encoding="utf-8").read())
+    for k in range(10):
+        coder.encode(f"own{k} words {k * 7} " + passage)
+    assert coder.encoded < 0.35 * coder.met
+    got = bpe_chunks.reuse(documents(spark, [(k, f"own{k} " + passage if k else None, "en", "a") for k in range(6)])).first()
+    assert got["chunks"] > 3 * got["distinct_chunks"] > 0 and got["bytes"] > 3 * got["distinct_bytes"]
+
+
 def test_long_run_without_blanks(codec, tokenizer):
     text = "ab" * 20_000
     assert codec.encode(text)[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
