@@ -3,13 +3,19 @@
 The markup is stripped to lines, one a block element's text, each with its length
 of running text; lines in menus, headers, footers, sidebars, notices, adverts,
 forms, comments of readers and the like weigh nothing, and neither do menus of bare
-links, nor lines outside the article or main part of a page that marks one. A
-boilerplate element counts as one such line. On other pages lines of nothing but links
-make no surge, but stay within a block that has one. Lengths are summed over sliding windows of lines. Dive points, where the sum of a window falls
-to nothing, part the page into blocks; a block with a surge point, where the sum of a
-window passes the threshold, is main text with all its lines that weigh anything, so
-short first and last paragraphs come with it. The threshold is half the mean of the
-page's own sums, at most SURGE.
+links. A boilerplate element counts as one such line. Lines of nothing but links make no
+surge, but stay within a block that has one, save for rows of them at its ends. On a page
+that marks an article or main part, lines outside of it weigh OUTSIDE of their length.
+Lengths are summed over sliding windows of lines. Dive points, where the sum of a window
+falls to nothing or the weight of lines changes, part the page into blocks; a block with
+a surge point, where the sum of a window passes the threshold, is main text with all its
+lines that weigh anything, so short first and last paragraphs come with it. The
+threshold is half the mean of the page's own sums, at most SURGE. So the sums decide on
+every page; marks, names and roles only weigh.
+
+Names are hints. Outside of an article one of the parts of a class or id may tell of
+boilerplate; within it the whole name has to, and a paragraph or heading stays whatever
+its name.
 
 Scale: a projection over the pages, a page at a time, in linear time; no shuffle, and
 batches bounded in bytes.
@@ -34,6 +40,8 @@ from quillmesh.llm._worker import releasing
 #: Lines in a window, and the sum that is a surge on every page.
 WINDOW = 3
 SURGE = 80
+#: Weight of a line outside of a marked article or main part.
+OUTSIDE = 0.01
 BATCH_BYTES = 2 << 20
 
 #: Elements by their role.
@@ -57,39 +65,52 @@ DROPPED_NAMES = frozenset(
 )
 #: A name after one of these tells of a layout, not of the element itself.
 NEGATING = frozenset("has with no without is show hide".split())
+#: Parts of a name that say no more than that it is some element; with a name from above they make a whole name.
+GENERIC = frozenset(
+    "area bar block bottom box button buttons center container content form group holder icon icons inline inner item items left "
+    "link links list main message page post right row section site slot top unit wrap wrapper".split()
+)
 PROSE = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 LANDMARKS = frozenset("article main".split())
+#: Elements within which a start tag ends its sibling.
+HOLDERS = frozenset("ul ol dl table select div section article".split())
 #: Start tags that end an open element of the same group.
 ENDS = {t: frozenset([t]) for t in ("li", "option", "tr")} | {t: frozenset(["dt", "dd"]) for t in ("dt", "dd")} | {t: frozenset(["td", "th"]) for t in ("td", "th")}
 
 _TOKEN = re.compile(
-    r"""<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"""
-    r"""|<([a-zA-Z][^\s/>]*)((?:[^"'>]++|"[^"]*+"|'[^']*+')*+|[^>]*)(?:>|\Z)|[^<]+|<""",
-    re.S,
+    r"""<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)|[^<]+|<""", re.S
 )
+_STOP = re.compile("[\"'>]")
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in RAW}
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 _NAME = re.compile(r"[a-z]+")
 
 
+def _named(value: str, whole: bool, dropped: frozenset) -> bool:
+    """Whether a class or id tells of boilerplate, by one of its parts or, if ``whole``, by all of it."""
+    for one in value.split():
+        names = _NAME.findall(_CAMEL.sub("-", one).lower())
+        told = [n in dropped and (k == 0 or names[k - 1] not in NEGATING) for k, n in enumerate(names)]
+        if any(told) and (not whole or all(t or n in GENERIC for t, n in zip(told, names, strict=True))):
+            return True
+    return False
+
+
 def _boilerplate(tag: str, attributes: str, inside: str) -> bool:
-    """Whether an element is no main text by its tag, role, class, id or being hidden."""
-    if tag in DROPPED or tag == "header" and inside not in LANDMARKS:
+    """Whether an element is no main text by its tag, role, class, id or, outside of an article, by being hidden."""
+    article = inside in LANDMARKS
+    if tag in DROPPED or tag == "header" and not article:
         return True
-    if not attributes or not attributes.strip() or tag in ("html", "body", "main"):
+    if not attributes or not attributes.strip() or tag in ("html", "body", "main") or article and tag in PROSE:
         return False
     got = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)}
-    if "hidden" in got or got.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", got.get("style", ""), re.I):
+    if not article and ("hidden" in got or got.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", got.get("style", ""), re.I)):
         return True
     if got.get("role", "").lower() in DROPPED_ROLES:
         return True
-    dropped = DROPPED_NAMES - {"header"} if inside in LANDMARKS else DROPPED_NAMES  # an article's own header has its title
-    for value in (got.get("class", ""), got.get("id", "")):
-        for one in value.split():
-            names = _NAME.findall(_CAMEL.sub("-", one).lower())
-            if any(n in dropped and (k == 0 or names[k - 1] not in NEGATING) for k, n in enumerate(names)):
-                return True
-    return False
+    dropped = DROPPED_NAMES - {"header"} if article else DROPPED_NAMES  # an article's own header has its title
+    return any(_named(got.get(k, ""), article, dropped) for k in ("class", "id"))
 
 
 class Line:
@@ -102,110 +123,134 @@ class Line:
         self.text, self.linked, self.tag, self.marked = text, linked, tag, marked
 
 
+class _Open:
+    """The open elements: each tag's places in the stack are kept, so that no step looks through all of it."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, bool]] = []  # (tag, boilerplate)
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.landmarks: list[str] = []
+        self.dropped = self.marked = self.links = 0
+
+    def push(self, tag: str, bad: bool) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag in BLOCK:
+            self.blocks.append(len(self.stack))
+        if tag in LANDMARKS:
+            self.landmarks.append(tag)
+            self.marked += not bad
+        self.stack.append((tag, bad))
+        self.dropped += bad
+        self.links += tag == "a"
+
+    def cut(self, k: int) -> None:
+        """Ends the elements from place ``k`` of the stack on."""
+        while len(self.stack) > k:
+            tag, bad = self.stack.pop()
+            self.places[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
+            if tag in LANDMARKS:
+                self.landmarks.pop()
+                self.marked -= not bad
+            self.dropped -= bad
+            self.links -= tag == "a"
+
+    def last(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def block(self) -> str:
+        return self.stack[self.blocks[-1]][0] if self.blocks else ""
+
+    def make_room(self, tag: str) -> None:
+        """Ends what the start of a block ends: an open paragraph, and a sibling such as the list item before."""
+        if self.block() == "p":
+            self.cut(self.blocks[-1])
+        if tag in ENDS:
+            sibling = self.last(ENDS[tag])
+            if sibling > self.last(HOLDERS):
+                self.cut(sibling)
+
+    def end(self, tag: str) -> None:
+        k = self.last([tag])
+        if k >= 0 and (tag in BLOCK or not self.blocks or k > self.blocks[-1]):
+            self.cut(k)
+
+
+def _tag_end(page: str, at: int, ends: dict[str, int]) -> int:
+    """Where the tag whose attributes start at ``at`` ends; a quote that is never closed is none."""
+    while True:
+        stop = _STOP.search(page, at)
+        if stop is None:
+            return len(page)
+        if stop[0] == ">":
+            return stop.end()
+        if stop.start() >= ends[stop[0]]:
+            found = page.find(">", stop.end())
+            return len(page) if found < 0 else found + 1
+        at = page.index(stop[0], stop.end()) + 1
+
+
 def lines_of(page: str) -> list[Line]:
     """The page's lines in order, without markup and boilerplate elements."""
     out: list[Line] = []
     parts: list[str] = []
     links: list[str] = []
-    open_tags: list[tuple[str, bool]] = []  # (tag, boilerplate)
-    dropped = marked = in_link = 0
+    tags = _Open()
     passed = False  # text of a boilerplate element, which leaves one empty line, however many blocks it has
     at, end = 0, len(page)
+    quotes = {q: page.rfind(q) for q in "\"'"}
 
     def close_line() -> None:
         nonlocal passed
-        if passed and not dropped:
+        if passed and not tags.dropped:
             out.append(Line("", 0, "", False))
             passed = False
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                tag = next((t for t, _ in reversed(open_tags) if t in BLOCK), "")
-                out.append(Line(text, len(" ".join(unescape("".join(links)).split())), tag, marked > 0))
+                out.append(Line(text, len(" ".join(unescape("".join(links)).split())), tags.block(), tags.marked > 0))
             parts.clear()
             links.clear()
 
-    def pop(k: int) -> None:
-        nonlocal dropped, marked, in_link
-        for tag, bad in open_tags[k:]:
-            dropped -= bad
-            marked -= tag in LANDMARKS and not bad
-            in_link -= tag == "a"
-        del open_tags[k:]
-
     while at < end:
         m = _TOKEN.match(page, at)
         at = m.end()
         closing, opening = m[1], m[2]
         if opening is not None:
-            tag = opening.lower()
+            tag, since = opening.lower(), at
+            at = _tag_end(page, at, quotes)
             if tag in BLOCK:
                 close_line()
-                if open_tags and open_tags[-1][0] != tag and any(t == "p" for t, _ in open_tags):
-                    _end_paragraph(open_tags, pop)
-                elif open_tags and open_tags[-1][0] == tag == "p":
-                    pop(len(open_tags) - 1)
-                if tag in ENDS:
-                    _end_sibling(open_tags, ENDS[tag], pop)
+                tags.make_room(tag)
             if tag == "br":
-                if not dropped:
+                if not tags.dropped:
                     parts.append(" ")
-                continue
-            if tag in VOID:
-                continue
-            if tag in RAW:
-                found = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
+            elif tag in VOID:
+                pass
+            elif tag in RAW:
+                found = _RAW_END[tag].search(page, at)
                 at = found.end() if found else end
-                continue
-            if m[3].rstrip().endswith("/") and tag not in BLOCK:
-                continue
-            inside = next((t for t, _ in reversed(open_tags) if t in LANDMARKS), "")
-            bad = _boilerplate(tag, m[3], inside)
-            open_tags.append((tag, bad))
-            dropped += bad
-            marked += tag in LANDMARKS and not bad
-            in_link += tag == "a"
+            else:
+                tags.push(tag, _boilerplate(tag, page[since : at - 1], tags.landmarks[-1] if tags.landmarks else ""))
         elif closing is not None:
             tag = closing.lower()
             if tag in BLOCK:
                 close_line()
-            for k in range(len(open_tags) - 1, -1, -1):
-                if open_tags[k][0] == tag:
-                    pop(k)
-                    break
-                if tag not in BLOCK and open_tags[k][0] in BLOCK:
-                    break
+            tags.end(tag)
         elif m[0].startswith(("<!", "<?")):
             continue
-        elif dropped:
+        elif tags.dropped:
             passed = passed or not m[0].isspace()
         else:
             parts.append(m[0])
-            if in_link:
+            if tags.links:
                 links.append(m[0])
     close_line()
     return out
 
 
-def _end_paragraph(open_tags: list[tuple[str, bool]], pop) -> None:
-    """A block's start ends an open paragraph, with the inline elements in it."""
-    for k in range(len(open_tags) - 1, -1, -1):
-        if open_tags[k][0] == "p":
-            pop(k)
-            return
-        if open_tags[k][0] in BLOCK:
-            return
-
-
-def _end_sibling(open_tags: list[tuple[str, bool]], group: frozenset, pop) -> None:
-    for k in range(len(open_tags) - 1, -1, -1):
-        if open_tags[k][0] in group:
-            pop(k)
-            return
-        if open_tags[k][0] in ("ul", "ol", "dl", "table", "select", "div", "section", "article"):
-            return
-
-
 def _links(lines: list[Line]) -> tuple[list[bool], list[bool]]:
     """(lines of nothing but links, those of them in menus): a menu is three or more in a row, no window of which is
     long enough for a surge; a list of references is."""
@@ -222,11 +267,11 @@ def _links(lines: list[Line]) -> tuple[list[bool], list[bool]]:
     return bare, menu
 
 
-def _blocks(held: list[bool]) -> list[list[int]]:
-    """The lines held, parted at the dive points: a window of lines that aren't."""
+def _blocks(held: list[bool], lines: list[Line]) -> list[list[int]]:
+    """The lines held, parted at the dive points: a window of lines that aren't, or the bounds of a marked part."""
     out: list[list[int]] = []
     for k, h in enumerate(held):
-        if h and out and k - out[-1][-1] <= WINDOW:
+        if h and out and k - out[-1][-1] <= WINDOW and lines[k].marked == lines[out[-1][-1]].marked:
             out[-1].append(k)
         elif h:
             out.append([k])
@@ -254,17 +299,20 @@ def extract(page: str | None) -> str:
         return ""
     bare, menu = _links(lines)
     marked = any(x.marked for x in lines)
-    held = [x.text != "" and not m and x.marked == marked for x, m in zip(lines, menu, strict=True)]
-    weights = [len(x.text) if h and (marked or not b) else 0 for x, h, b in zip(lines, held, bare, strict=True)]
-    sums = [sum(weights[k : k + WINDOW]) for k in range(len(weights))]
-    passed = [s for s in sums if s]
+    held = [x.text != "" and not m for x, m in zip(lines, menu, strict=True)]
+    weights = [
+        (len(x.text) if h and (x.marked or not b) else 0) * (1 if x.marked == marked else OUTSIDE) for x, h, b in zip(lines, held, bare, strict=True)
+    ]
+    blocks = _blocks(held, lines)
+    sums = [[sum(weights[i] for i in block[k : k + WINDOW]) for k in range(len(block))] for block in blocks]
+    passed = [s for each in sums for s in each if s >= 1]
     if not passed:
         return ""
     surge = min(SURGE, sum(passed) / len(passed) / 2)
     kept: list[int] = []
-    for block in _blocks(held):
-        if any(sum(weights[i] for i in block[k : k + WINDOW]) >= surge for k in range(len(block))):
-            kept += block if marked else _trimmed(block, lines, bare)
+    for block, each in zip(blocks, sums, strict=True):
+        if max(each) >= surge:
+            kept += block if lines[block[0]].marked else _trimmed(block, lines, bare)
     return "\n".join(lines[i].text for i in kept)
 
 

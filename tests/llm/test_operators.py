@@ -2,8 +2,10 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -241,6 +243,112 @@ def test_broken_pages():
     assert html_extract.extract("<div>" * 20_000 + "deep") == "deep"
 
 
+def test_names_are_hints():
+    body = "word " * 40
+    page = f'<article><p class="share-price">{body}</p><div class="related-work"><p>Others did.</p></div><h2 class="comment-title">On it</h2><p hidden>Shown later</p><div class="share-buttons">Share</div><div class="ad">Buy</div><span class=x />end</article>'
+    assert html_extract.extract(page).split("\n") == [body.strip(), "Others did.", "On it", "Shown later", "end"]
+    assert html_extract.extract(f'<div class="related-work">Others</div><p>{body}</p><div hidden>no</div>') == body.strip()
+
+
+def test_sums_decide_beside_a_mark():
+    body, long = "word " * 40, "note " * 4000
+    assert html_extract.extract(f"<p>{body}</p><article><p>{body}</p></article><p>tail</p>") == body.strip()
+    assert html_extract.extract(f"<p>{long}</p><article><p>{body}</p></article>") == f"{long.strip()}\n{body.strip()}"
+    assert html_extract.extract(f"<article><p>{body}</p></article><article><h2>Next</h2></article>").split("\n")[0] == body.strip()
+
+
+@pytest.mark.parametrize("unit", ["<b>", '<a "', "<a '", "<div>", "<p><b>", "</p>", "<b></i>", "<li><a href=x>", "<!-- x", "<p>x &amp; ", "<article>", "<table><tr><td>"])
+def test_hostile_pages_take_linear_time(unit):
+    def seconds(n):
+        began = time.process_time()
+        html_extract.extract("<i>" + unit * n + "</i>" * n)
+        return time.process_time() - began
+
+    seconds(100)
+    assert seconds(24_000) < 16 * max(seconds(4_000), 0.01)  # 6 times as long; 36 times if it were quadratic
+
+
+class Naive(HTMLParser):
+    """Lines of well-formed pages with all the elements around each; a boilerplate element is one empty line."""
+
+    def __init__(self):
+        super().__init__()
+        self.around, self.lines = [], []
+
+    def line(self, *what):
+        self.lines.append(what)
+
+    def handle_starttag(self, tag, attrs):
+        if tag in html_extract.BLOCK:
+            self.line("cut")
+        inside = next((t for t, _ in reversed(self.around) if t in html_extract.LANDMARKS), "")
+        raw = " ".join(f'{k}="{v}"' for k, v in attrs)
+        self.around.append((tag, self.getpos() if html_extract._boilerplate(tag, raw, inside) else False))
+
+    def handle_endtag(self, tag):
+        if tag in html_extract.BLOCK:
+            self.line("cut")
+        self.around.pop()
+
+    def handle_data(self, data):
+        bad = next((b for _, b in self.around if b), None)  # the outermost
+        self.line("bad" if bad else "text", data if not bad else (data, bad), any(t == "a" for t, _ in self.around), any(t in html_extract.LANDMARKS for t, _ in self.around), next((t for t, _ in reversed(self.around) if t in html_extract.BLOCK), ""))
+
+
+def naive_extract(page):
+    parser = Naive()
+    parser.feed(page)
+    parser.close()
+    lines, now, gone = [], [], set()
+    for what in [*parser.lines, ("cut",)]:
+        if what[0] == "cut":
+            if now and "".join(w[1] for w in now).split():
+                lines.append((" ".join("".join(w[1] for w in now).split()), len(" ".join("".join(w[1] for w in now if w[2]).split())), now[0][3]))
+            now = []
+        elif what[0] == "bad":
+            if what[1][0].split() and what[1][1] not in gone:
+                gone.add(what[1][1])
+                lines.append(("", 0, None))
+        else:
+            now.append(what)
+    marked = any(m for _, _, m in lines)
+    bare = [bool(t) and k >= 0.9 * len(t) for t, k, _ in lines]
+    long = lambda i: sum(len(t) for t, _, _ in lines[i : i + 3]) >= 80
+    menu = set()
+    for i in range(len(lines)):
+        for j in range(i + 3, len(lines) + 1):
+            whole = all(bare[i:j]) and not (i and bare[i - 1]) and not (j < len(lines) and bare[j])
+            if whole and not any(long(k) for k in range(i, j - 2)):
+                menu |= set(range(i, j))
+    held = [i for i, (t, _, _) in enumerate(lines) if t and i not in menu]
+    weight = {i: (len(lines[i][0]) if lines[i][2] or not bare[i] else 0) * (1 if bool(lines[i][2]) == marked else 0.01) for i in held}
+    blocks = []
+    for i in held:
+        if blocks and i - blocks[-1][-1] <= 3 and bool(lines[i][2]) == bool(lines[blocks[-1][-1]][2]):
+            blocks[-1].append(i)
+        else:
+            blocks.append([i])
+    sums = [[sum(weight[i] for i in b[k : k + 3]) for k in range(len(b))] for b in blocks]
+    seen = [s for x in sums for s in x if s >= 1]
+    level = min(80, sum(seen) / len(seen) / 2) if seen else 0
+    return [[lines[i][0] for i in b] for b, x in zip(blocks, sums) if seen and max(x) >= level]
+
+
+LEAF = st.sampled_from(["short one", "word " * 30, "middle sized text of a block here", "x"])
+TREE = st.recursive(
+    st.builds(lambda t, a: f"<{t}{a}>", st.just("p"), st.just("")).flatmap(lambda o: LEAF.map(lambda x: f"{o}{x}</p>")) | LEAF.map(lambda x: f"<li>{x} <a href='y'>l</a></li>"),
+    lambda inner: st.builds(lambda t, c, xs: f"<{t}{c}>{''.join(xs)}</{t}>", st.sampled_from(["div", "section", "article", "main", "nav", "aside"]), st.sampled_from(["", ' class="ad"', ' class="share-price"', ' id="side"']), st.lists(inner, min_size=1, max_size=5)),
+    max_leaves=20,
+)
+
+
+@given(st.lists(TREE, min_size=1, max_size=8))
+@settings(max_examples=150, deadline=None)
+def test_pages_against_a_naive_reading(trees):
+    page = "".join(trees)
+    assert html_extract.extract(page) == "\n".join(t for b in naive_extract(page) for t in b)
+
+
 def test_pages_table(spark):
     df = spark.createDataFrame([(1, "u", PAGE), (None, None, None), (1, "u", PAGE)], "page_id bigint, url string, html string").withColumn("text", F.lit("z"))
     got = html_extract.extract_pages(df).collect()
