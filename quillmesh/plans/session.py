@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import re
+import threading
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field, replace
@@ -23,7 +24,7 @@ from quillmesh import scratch
 from quillmesh.functions import errors
 from quillmesh.functions.messages import FENCE, FIRST_LOOK, MAX_OUTPUT
 from quillmesh.functions.models import Model, Usage, get_model
-from quillmesh.functions.sandbox import Result, Sandbox
+from quillmesh.functions.sandbox import Result, Sandbox, plain_value
 from quillmesh.functions.tools import describe, inherited, injected, parse_tools
 from quillmesh.operators.compaction import GO_ON, SHARE, SUMMARISE
 from quillmesh.operators.usage import CHARS_PER_TOKEN, CONTEXT_LIMITS, DEFAULT_LIMIT
@@ -129,14 +130,20 @@ class Session:
         self.answer: str | None = None
         self.status = "running"
         self.log: list[dict] = []
+        self.segments = -1  # the history that this prompt's compactions go to
+        self._spending = threading.Lock()  # sub-calls of a batch run side by side
 
     # queries from inside the code
 
     def _leaf(self, prompt: Any, model: str | None = None) -> str:
         got = self.config.build(self.depth + 1, model).complete(prompt)
-        self.usage = self.usage.plus(got.usage)
+        self._spent(got.usage)
         return got.text
 
+    def _spent(self, usage: Usage) -> None:
+        with self._spending:
+            self.usage = self.usage.plus(usage)
+
     def _child(self, prompt: Any, model: str | None = None) -> str:
         """A session of its own one level down, or a plain call at the last level. Failures are error texts."""
         if self.depth + 1 >= self.config.limits.max_depth:
@@ -151,7 +158,7 @@ class Session:
         child = Session(replace(self.config, limits=limits, tools=dict(given)), self.depth + 1, dict(given))
         child.open(prompt)
         child.run()
-        self.usage = self.usage.plus(child.usage)
+        self._spent(child.usage)
         self._tell("subcall_complete", {"depth": self.depth + 1, "status": child.status})
         return child.answer if child.answer is not None else f"Error: the sub-session ended by {child.status}"
 
@@ -177,7 +184,7 @@ class Session:
             self.history.append({"role": "user", "content": self.config.prologue})
         if index:
             self.sandbox.answer = type(self.sandbox.answer)()
-        self.turn, self.answer, self.status, self.errors_in_row = 0, None, "running", 0
+        self.turn, self.answer, self.status, self.errors_in_row, self.segments = 0, None, "running", 0, -1
 
     def _prompt(self) -> list[dict[str, str]]:
         s = self.sandbox
@@ -197,9 +204,10 @@ class Session:
         got = self.model.complete([*self.history, {"role": "user", "content": SUMMARISE}])
         self.usage = self.usage.plus(got.usage)
         self.compactions += 1
-        held = self.sandbox.locals.setdefault("history_0", [])
+        if self.segments < 0:  # not into an earlier conversation
+            self.segments = self.sandbox.add_history([])
+        held = self.sandbox.locals.setdefault(f"history_{self.segments}", [])
         held += [list(self.history), {"type": "summary", "content": got.text}]
-        self.sandbox.histories = max(self.sandbox.histories, 1)
         note = {"role": "user", "content": GO_ON % self.compactions}
         self.history = [*self.history[:2], {"role": "assistant", "content": got.text}, note]
 
@@ -264,20 +272,24 @@ class Session:
 
     # state as a row
 
-    FIELDS = ("history", "turn", "errors_in_row", "compactions", "elapsed", "partial", "answer", "status")
+    FIELDS = ("history", "log", "turn", "errors_in_row", "compactions", "segments", "elapsed", "partial", "answer", "status")
 
-    def dump(self) -> dict[str, Any]:
-        row = {k: getattr(self, k) for k in self.FIELDS} | {"ns": self.sandbox.dump()}
+    def dump(self, context: str | None = None) -> dict[str, Any]:
+        """The state as a row; ``context`` is the first context's text, which isn't written again if it is as it was."""
+        same = context is not None and self.sandbox.locals.get("context_0") == context
+        row = {k: getattr(self, k) for k in self.FIELDS} | {"ns": self.sandbox.dump(frozenset({"context_0"}) if same else frozenset())}
         u = self.usage
-        return row | {"history": json.dumps(self.history), "calls": u.calls, "input_tokens": u.input_tokens, "output_tokens": u.output_tokens, "cost": u.cost}
+        return row | {"history": json.dumps(self.history), "log": json.dumps(plain_value(self.log)), "calls": u.calls, "input_tokens": u.input_tokens, "output_tokens": u.output_tokens, "cost": u.cost}
 
-    def load(self, row: dict[str, Any]) -> None:
+    def load(self, row: dict[str, Any], context: str | None = None) -> None:
         for k in self.FIELDS:
-            setattr(self, k, json.loads(row[k]) if k == "history" else row[k])
+            setattr(self, k, json.loads(row[k]) if k in ("history", "log") else row[k])
+        if context is not None:
+            self.sandbox.locals["context_0"] = context
         self.sandbox.load(row["ns"])
         cost = None if pd.isna(row["cost"]) else row["cost"]
         self.usage = Usage(int(row["calls"]), int(row["input_tokens"]), int(row["output_tokens"]), cost)
-        for k in ("turn", "errors_in_row", "compactions"):
+        for k in ("turn", "errors_in_row", "compactions", "segments"):
             setattr(self, k, int(row[k]))
 
 
@@ -299,13 +311,15 @@ def run_inline(payload: Any, config: Config = Config(), question: str | None = N
 
 
 STATE = (
-    "history string, turn int, errors_in_row int, compactions int, elapsed double, partial string, answer string, status string, "
+    "history string, log string, turn int, errors_in_row int, compactions int, segments int, elapsed double, partial string, answer string, status string, "
     "ns binary, calls bigint, input_tokens bigint, output_tokens bigint, cost double"
 )
 
 
 def run_sessions(sessions: DataFrame, config: Config = Config(), context: str = "context", question: str | None = None, turns_a_step: int = 1) -> DataFrame:
-    """The sessions (one row each: their columns, with the context's text) with STATE's columns when none runs any more."""
+    """The sessions (one row each: their columns, with the context's text) with STATE's columns when none runs any more.
+
+    ``log`` has the iterations as JSON (``iterations`` makes rows of it). The result doesn't depend on ``turns_a_step``."""
     given = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sessions.schema.fields)
     names = [c.split()[0] for c in STATE.split(", ")]
     own = sessions.columns
@@ -319,11 +333,11 @@ def run_sessions(sessions: DataFrame, config: Config = Config(), context: str =
                     if fresh:
                         session.open(row[context] or "", row[question] if question else None)
                     else:
-                        session.load(row)
+                        session.load(row, row[context] or "")
                     for _ in range(turns_a_step):
                         if session.status == "running":
                             session.step()
-                    out.append({k: row[k] for k in own} | session.dump())
+                    out.append({k: row[k] for k in own} | session.dump(row[context] or ""))
                 yield pd.DataFrame(out, columns=[*own, *names])
 
         return run
@@ -339,4 +353,17 @@ def run_sessions(sessions: DataFrame, config: Config = Config(), context: str =
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
-    return out.withColumn("final_answer", F.col("answer")).drop("answer", "ns")
+    return out.withColumn("final_answer", F.col("answer")).drop("answer", "ns", "segments")
+
+
+ITERATIONS = (
+    "array<struct<iteration:int,response:string,code_blocks:array<struct<code:string,result:struct<stdout:string,stderr:string,seconds:double,"
+    "final_answer:string>>>,final_answer:string,iteration_time:double>>"
+)
+
+
+def iterations(ended: DataFrame, *keys: str) -> DataFrame:
+    """One row per turn of the sessions that ``run_sessions`` returns: the ``keys``, iteration, response, code_blocks,
+    final_answer and iteration_time. Sessions without a turn have none."""
+    each = ended.select(*keys, F.explode(F.from_json("log", ITERATIONS)).alias("turn_"))
+    return each.select(*keys, "turn_.*")

@@ -618,6 +618,35 @@ def session_loop(s, d):
     return got.select("conv_id", F.col("t").alias("turn"), "final_answer", F.col("turn").alias("turns"), "status")
 
 
+def _two_turn_rule(prompt):
+    """Sets the answer's content in the first turn and calls it ready in the second, from what the first left behind."""
+    if isinstance(prompt, str):
+        return f"leaf {len(prompt)}"
+    n = sum(x["role"] == "assistant" for x in prompt)
+    first = "```repl\nparts = llm_query_batched([context, context * 2, 'x'])\nanswer['content'] = ', '.join(parts)\nprint(len(context))\n```"
+    return first if n == 0 else "```repl\nanswer['ready'] = len(parts) == 3\n```"
+
+
+def _two_turns(s, d):
+    c = table(s, d, "conversations").select("conv_id", F.col("turn").alias("t"), F.col("text").alias("context"))
+    return run_sessions(c, Config(model=("rule", {"rule": _two_turn_rule}), limits=Limits(max_turns=5)))
+
+
+@query("""SELECT conv_id, turn, 'leaf ' || length(coalesce(text, '')) || ', leaf ' || 2 * length(coalesce(text, '')) || ', leaf 1' AS final_answer, 2 AS turns,
+    'done' AS status FROM conversations""")
+def session_two_turns(s, d):
+    """Sessions whose answer is put together in one turn and called ready in the next."""
+    return _two_turns(s, d).select("conv_id", F.col("t").alias("turn"), "final_answer", F.col("turn").alias("turns"), "status")
+
+
+@query("""SELECT conv_id, turn, i AS iteration, CASE WHEN i = 1 THEN CAST(length(coalesce(text, '')) AS VARCHAR) || chr(10) ELSE '' END AS stdout,
+    i = 2 AS answered FROM conversations, (VALUES (1), (2)) v(i)""")
+def session_iterations(s, d):
+    """The turns of distributed sessions, as trajectories take them."""
+    each = iterations(_two_turns(s, d).withColumnRenamed("turn", "turns"), "conv_id", "t")
+    return each.select("conv_id", F.col("t").alias("turn"), "iteration", F.col("code_blocks")[0]["result"]["stdout"].alias("stdout"), F.col("final_answer").isNotNull().alias("answered"))
+
+
 @query("""WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh FROM events),
     n AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM g)
     SELECT user_id, min(ts) AS started, max(ts) + INTERVAL 6 HOUR AS ended, count(*) AS n_events FROM n GROUP BY user_id, k""")

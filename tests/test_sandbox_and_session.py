@@ -1,12 +1,15 @@
+import datetime
+import time
+
 import pytest
 
 from quillmesh.functions import errors, tools
 from quillmesh.functions.sandbox import Sandbox, plain_value
-from quillmesh.plans.session import Config, Limits, Session, find_code, run_inline, turn_history
+from quillmesh.plans.session import Config, Limits, Session, find_code, iterations, run_inline, run_sessions, turn_history
 
 
 def box(**kind):
-    return Sandbox(lambda p, m=None: f"said {p}", **kind)
+    return Sandbox(**{"query": lambda p, m=None: f"said {p}"} | kind)
 
 
 def rule(*replies):
@@ -76,6 +79,57 @@ def test_plain_values():
     import json
 
     assert plain_value((1, {"a": len, 2: json})) == [1, {"a": "<builtin_function_or_method 'len'>", "2": "<module 'json'>"}]
+    assert plain_value({3, 1, 2}) == [1, 2, 3] and plain_value(b"a\xff") == "a\\xff" and plain_value([None, True, 1.5]) == [None, True, 1.5]
+    assert plain_value(datetime.date(2020, 1, 2)) == "2020-01-02" and plain_value(complex(1, 2)) == "(1+2j)"
+    shy = type("Shy", (), {"__repr__": lambda self: 1 / 0})()
+    assert plain_value(shy) == "<Shy>"
+
+
+@pytest.mark.parametrize("name", ["llm_query_batched", "rlm_query_batched"])
+def test_batches_run_side_by_side(name):
+    def ask(prompt, model=None):
+        time.sleep(0.2)
+        if prompt == "c":
+            raise ValueError("no")
+        return f"got {prompt}"
+
+    b = box(query=ask, recurse=ask)
+    began = time.monotonic()
+    got = b.run(f"r = {name}(['a', 'b', 'c', 'd'])\nprint(r)")
+    assert time.monotonic() - began < 0.6
+    assert b.locals["r"][:2] == ["got a", "got b"] and b.locals["r"][2].startswith("Error: ") and b.locals["r"][3] == "got d"
+    assert [c["prompt"] for c in got.calls] == ["a", "b", "d"]
+
+
+def test_cells_side_by_side_keep_their_output():
+    def child(prompt, model=None):
+        one = box()
+        for _ in range(20):
+            assert one.run(f"print('{prompt}')").stdout == f"{prompt}\n"
+        return prompt
+
+    got = box(recurse=child).run("print(rlm_query_batched(['a', 'b', 'c', 'd']))\nimport sys\nprint('err', file=sys.stderr)")
+    assert got.stdout == "['a', 'b', 'c', 'd']\n" and got.stderr == "err\n"
+
+
+SCRIPTS = {
+    "content first": ["```repl\nanswer['content'] = 'forty-two'\n```", "```repl\nanswer['ready'] = True\n```"],
+    "state": ["```repl\nx = len(context)\n```", "```repl\ny = x + 1\n```", "```repl\nanswer['content'] = y\n```", "```repl\nanswer['ready'] = True\n```"],
+    "context changed": ["```repl\ncontext_0 = 'other'\n```", "```repl\nanswer['content'] = context\nanswer['ready'] = True\n```"],
+    "no answer": ["```repl\n1/0\n```", "thinking"],
+}
+
+
+@pytest.mark.parametrize("name", SCRIPTS)
+def test_inline_equals_distributed(spark, name):
+    config = Config(model=rule(*SCRIPTS[name]), limits=Limits(max_turns=4))
+    want = run_inline("some text", config)
+    for k in (1, 2, 5):
+        got = run_sessions(spark.createDataFrame([("some text",)], "context string"), config, turns_a_step=k)
+        row = got.first()
+        assert (row["final_answer"], row["turn"], row["status"], row["calls"]) == (want.answer, want.turn, want.status, want.usage.calls)
+        turns = iterations(got, "context").collect()
+        assert sorted((t["iteration"], t["response"], len(t["code_blocks"])) for t in turns) == [(t["iteration"], t["response"], len(t["code_blocks"])) for t in want.log]
 
 
 def test_fences():
@@ -143,6 +197,10 @@ def test_compaction():
     s.open("t")
     s.run()
     assert s.compactions >= 1 and s.sandbox.locals["history_0"][1]["type"] == "summary"
+    before = list(s.sandbox.locals["history_0"])
+    s.open("a second prompt")
+    s.run()
+    assert s.sandbox.locals["history_0"] == before  # an earlier conversation stays as it was
 
 
 def test_persistent_session_keeps_versions():
