@@ -13,7 +13,7 @@ from quillmesh.functions import messages as M
 from quillmesh.functions import scoring as Q
 from quillmesh.operators import calls, chunking, compaction, limits, trajectory, usage
 from quillmesh.plans.recursion import recurse
-from quillmesh.plans.session import Config, Limits, run_sessions
+from quillmesh.plans.session import Config, Limits, iterations, run_sessions
 from quillmesh.sources import context, logs
 from quillmesh.streaming.logs import activity_sessions
 
@@ -105,16 +105,17 @@ def ctx_versioned(s, d):
 
 
 @query("""WITH base AS (SELECT source AS ctx_id, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS INT) AS ctx_index, text
-      FROM documents WHERE doc_id % 2 = 0),
+      FROM documents JOIN (SELECT source, max(doc_id) AS last FROM documents GROUP BY source) USING (source) WHERE doc_id <> last),
     n AS (SELECT ctx_id, max(ctx_index) + 1 AS i FROM base GROUP BY ctx_id),
-    added AS (SELECT source AS ctx_id, min(doc_id) AS doc_id FROM documents WHERE doc_id % 2 = 1 GROUP BY source)
+    added AS (SELECT source AS ctx_id, max(doc_id) AS doc_id FROM documents GROUP BY source)
     SELECT ctx_id, count(*) AS n_versions, CAST(sum(length(text)) AS BIGINT) AS chars, max(ctx_index) AS last_index FROM (
       SELECT * FROM base UNION ALL SELECT a.ctx_id, coalesce(n.i, 0), d.text FROM added a LEFT JOIN n USING (ctx_id) JOIN documents d USING (doc_id)) GROUP BY ctx_id""")
 def ctx_add(s, d):
-    """Every source's even documents as versions, then its first odd one as the next."""
-    docs = table(s, d, "documents")
-    base = context.versions_by(docs.filter("doc_id % 2 = 0").select(F.col("source").alias("ctx_id"), "doc_id", "text"), "ctx_id", "doc_id")
-    added = docs.filter("doc_id % 2 = 1").groupBy(F.col("source").alias("ctx_id")).agg(F.min(F.struct("doc_id", "text")).alias("f")).select("ctx_id", "f.text")
+    """Every source's documents as versions, then the last one of each as the next."""
+    docs = table(s, d, "documents").select(F.col("source").alias("ctx_id"), "doc_id", "text")
+    last = docs.groupBy("ctx_id").agg(F.max("doc_id").alias("doc_id"))
+    base = context.versions_by(docs.join(last, ["ctx_id", "doc_id"], "left_anti"), "ctx_id", "doc_id")
+    added = docs.join(last, ["ctx_id", "doc_id"], "left_semi").select("ctx_id", "text")
     got = context.add_context(base.select("ctx_id", "ctx_index", "text"), added)
     return got.groupBy("ctx_id").agg(F.count("*").alias("n_versions"), F.sum(F.length("text")).alias("chars"), F.max("ctx_index").alias("last_index"))
 
@@ -302,13 +303,13 @@ def truncate_output(s, d):
     return table(s, d, "documents").select("doc_id", M.cut(F.col("text"), 500).alias("shown"), M.snippet(F.col("text")).alias("snippet"))
 
 
-@query("""WITH o AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '' ELSE left(text, 300) END AS so, CASE WHEN doc_id % 4 = 0 THEN 'oops' ELSE '' END AS se, doc_id % 2 AS v FROM documents),
+@query("""WITH o AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '' ELSE text END AS so, CASE WHEN doc_id % 4 = 0 THEN 'oops' ELSE '' END AS se, doc_id % 2 AS v FROM documents),
     r AS (SELECT doc_id, concat_ws(chr(10) || chr(10), CASE WHEN so <> '' THEN chr(10) || so END, CASE WHEN se <> '' THEN chr(10) || se END,
       CASE WHEN v = 1 THEN 'REPL variables: [''x'', ''y'']' || chr(10) END) AS r FROM o)
-    SELECT doc_id, 'REPL output (block 1):' || chr(10) || CASE WHEN r = '' THEN 'No output' ELSE r END || chr(10) || chr(10) || 'REPL output (block 2):' || chr(10) || 'No output' AS content FROM r""")
+    SELECT doc_id, 'REPL output (block 1):' || chr(10) || CASE WHEN r = '' THEN 'No output' WHEN length(r) > 20000 THEN left(r, 20000) || '... + [' || (length(r) - 20000) || ' chars...]' ELSE r END || chr(10) || chr(10) || 'REPL output (block 2):' || chr(10) || 'No output' AS content FROM r""")
 def iteration_messages(s, d):
     docs = table(s, d, "documents")
-    out = F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.substring("text", 1, 300))
+    out = F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("text"))
     err = F.when(F.col("doc_id") % 4 == 0, "oops").otherwise("")
     names = F.when(F.col("doc_id") % 2 == 1, F.array(F.lit("x"), F.lit("_z"), F.lit("y"))).otherwise(F.array().cast("array<string>"))
     empty = F.array().cast("array<string>")
@@ -532,13 +533,13 @@ def log_round_trip(s, d):
     return n.join(told, "root_model").select(F.col("root_model").cast("bigint").alias("conv_id"), "n_iterations", "n_metadata")
 
 
-@query("""WITH a AS (SELECT doc_id, left(text, 40) || ' is ' || p || ' ' || q AS t, p, q FROM documents,
+@query("""WITH a AS (SELECT doc_id, text || ' is ' || p || ' ' || q AS t, p, q FROM documents,
       (SELECT * FROM (VALUES ('more common than', 'less common than'), ('same frequency as', 'so'), ('nothing', 'here')) AS v(p, q)))
     SELECT doc_id, p, CASE WHEN q LIKE 'less%' THEN q WHEN p = 'nothing' THEN NULL ELSE p END AS phrase FROM a""")
 def comparison_phrase(s, d):
     pairs = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p, q in (("more common than", "less common than"), ("same frequency as", "so"), ("nothing", "here"))])
     a = table(s, d, "documents").select("doc_id", "text", F.explode(pairs).alias("v"))
-    t = F.concat(F.substring("text", 1, 40), F.lit(" is "), "v.p", F.lit(" "), "v.q")
+    t = F.concat("text", F.lit(" is "), "v.p", F.lit(" "), "v.q")
     return a.select("doc_id", F.col("v.p").alias("p"), Q.comparison_phrase(t).alias("phrase"))
 
 
@@ -592,12 +593,12 @@ def dataset_shuffle(s, d):
     return context.shuffled(table(s, d, "documents").select("doc_id"), F.col("doc_id"), 42, 100)
 
 
-@query("""WITH c AS (SELECT doc_id, unnest(range(0, greatest(CAST(ceil(length(text) / 2000.0) AS BIGINT), 1))) AS n, text FROM documents WHERE lang = 'es')
+@query("""WITH c AS (SELECT doc_id, unnest(range(0, greatest(CAST(ceil(length(text) / 2000.0) AS BIGINT), 1))) AS n, text FROM documents)
     SELECT CAST(doc_id AS VARCHAR) AS call_id, string_agg('Mock response to: ' || substring(text, CAST(n * 2000 + 1 AS BIGINT), 2000), chr(10) ORDER BY n) AS told, count(*) AS sub_calls FROM c GROUP BY doc_id""")
 def recurse_levels(s, d):
     """Documents as calls, split once into sub-calls that are answered and joined."""
     split = lambda p: F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.length(p) / 2000).cast("int"), F.lit(1)) - 1), lambda k: F.substring(p, k * 2000 + 1, F.lit(2000)))
-    docs = table(s, d, "documents").filter("lang = 'es'").select(F.col("doc_id").alias("call_id"), F.col("text").alias("prompt"))
+    docs = table(s, d, "documents").select(F.col("doc_id").alias("call_id"), F.col("text").alias("prompt"))
     got = recurse(docs, split, 1).filter("depth = 0")
     return got.select("call_id", F.substring("response", len("Mock response to: ") + 1, 1 << 30).alias("told"), F.col("sub_calls").cast("bigint").alias("sub_calls"))
 
