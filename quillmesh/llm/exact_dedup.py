@@ -37,7 +37,10 @@ ROCKSDB = {
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
-ROW = "__qm_row"
+
+def locator(docs: DataFrame) -> str:
+    """The column that holds the row locator of the located docs."""
+    return scratch.free_name("__qm_row", docs)
 
 
 def sha256(text: Column) -> Column:
@@ -96,10 +99,11 @@ def exact_dedup(
     files_per_batch: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(located docs, verdicts): the verdicts have row, doc_id, digest, keep_id, group_size, kept for every row; the
-    docs carry the same locator in ``__qm_row``, so that the two can be joined, or filtered by ``duplicates``."""
-    located = scratch.with_row_locator(docs, ROW)
+    docs carry the same locator in the column that ``locator`` names."""
+    place = locator(docs)
+    located = scratch.with_row_locator(docs, place)
     norm = normalise or (lambda c: c)
-    slim = located.select(F.col(doc_id).alias("doc_id"), F.col(ROW).alias("row"), norm(_text.whole(F.col(text))).alias("text"))
+    slim = located.select(F.col(doc_id).alias("doc_id"), F.col(place).alias("row"), norm(_text.whole(F.col(text))).alias("text"))
     arrivals = scratch.table(slim.select("doc_id", "row", digest(F.col("text")).alias("digest")), "dedup-arrivals")
     hits = scratch.table(stream_state(arrivals, files_per_batch), "dedup-hits")
     small = scratch.bounded(hits)
@@ -128,6 +132,7 @@ def without_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """The rows of ``docs`` that stay, with the columns of ``docs``."""
     columns = docs.columns
     located, verdicts = exact_dedup(docs, doc_id, text, **kind)
-    gone = scratch.table(verdicts.filter("not kept").select(F.col("row").alias("gone")), "dedup-gone")
-    stay = located.join(scratch.bounded(gone), F.col(ROW) == F.col("gone"), "left_anti")
+    off = scratch.free_name("__qm_gone", docs)
+    gone = scratch.table(verdicts.filter("not kept").select(F.col("row").alias(off)), "dedup-gone")
+    stay = located.join(scratch.bounded(gone), F.col(locator(docs)) == F.col(off), "left_anti")
     return stay.select(*[F.col(f"`{c}`") for c in columns])

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillmesh import scratch
 from quillmesh.llm import _linear
 from quillmesh.llm._worker import releasing
 
@@ -150,7 +151,7 @@ def fit(
     share = F.lit(min(1.0, train_rows / n)) if n else F.lit(1.0)
     sample = marked.filter(_linear.in_sample(F.col("marked"), share))
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(
-        F.broadcast(sample), F.col("key") == F.col("marked")
+        scratch.bounded(scratch.table(sample, "quality-sample")), F.col("key") == F.col("marked")
     )
     got, x = _linear.collect_features(rows, text_features, "label")
     return fit_pairs(x.astype(float), np.array(got))

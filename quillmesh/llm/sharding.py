@@ -27,6 +27,8 @@ from dataclasses import asdict, dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmesh import scratch
+
 
 @dataclass(frozen=True)
 class Shard:
@@ -221,10 +223,12 @@ class ShardStore:
         """The columns told, with the shard's number, generation and size, of every row of the newest version."""
         now = self.manifest()
         places = [(s.path.rsplit("/", 2)[1] + "/" + s.path.rsplit("/", 1)[1], s.number, s.generation, s.bytes) for s in now.shards]
-        of = self.spark.createDataFrame(places, "place string, shard bigint, generation int, shard_bytes bigint")
-        at = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
         rows = self.read(now)
+        place = scratch.free_name("__qm_place", rows)
+        of = self.spark.createDataFrame(places, f"{place} string, shard bigint, generation int, shard_bytes bigint")
         if not places:
-            return rows.select(*columns).join(of.drop("place"), F.lit(False))
-        rows = rows.select(*columns, F.concat(at, F.lit("/"), F.col("_metadata.file_name")).alias("place"))
-        return rows.join(of, "place").drop("place").withColumn("version", F.lit(now.version).cast("long"))
+            return rows.select(*columns).join(of.drop(place), F.lit(False))
+        file = rows.metadataColumn("_metadata")
+        at = F.element_at(F.split(file.getField("file_path"), "/"), -2)
+        rows = rows.select(*columns, F.concat(at, F.lit("/"), file.getField("file_name")).alias(place))
+        return rows.join(of, place).drop(place).withColumn("version", F.lit(now.version).cast("long"))

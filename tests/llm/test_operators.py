@@ -21,7 +21,7 @@ from quillmesh.llm.sharding import ShardStore
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Extra columns whose names the operators use themselves.
-CLASH = "row string, kept string, size string, text_key string, node string, n string, copies string, __x string"
+CLASH = "row string, kept string, size string, text_key string, node string, n string, copies string, __x string, __qm_row string, __qm_gone string, _metadata string, gone string, place string"
 
 
 def documents(spark, rows, clash=True):
@@ -569,6 +569,22 @@ def test_compaction_keeps_every_row(spark):
     assert located.count() == docs.count() and {r["shard"] for r in located.collect()} <= {s.number for s in now.shards}
 
 
+def test_located_beside_clashing_names(spark):
+    store = ShardStore(spark, scratch.new_path(spark, "store"))
+    store.append(documents(spark, AWKWARD), "a")
+    assert store.located("doc_id", "place", "_metadata").count() == len(AWKWARD)
+
+
+@pytest.mark.parametrize("name", ["deduped", "cleaned", "near"])
+def test_plans_beyond_the_broadcast_bound(spark, name, monkeypatch):
+    rows = near_copies(11, 60, 80) + [(100 + i, t, lang, source) for i, t, lang, source in near_copies(11, 20, 80)]
+    docs = documents(spark, rows, clash=False)
+    ids = lambda: sorted(r["doc_id"] for r in OPERATORS[name](spark, docs).collect())
+    want = ids()
+    monkeypatch.setattr(scratch, "BROADCAST_ROWS", 0)
+    assert ids() == want
+
+
 def test_commits_exclude_each_other(spark):
     store = ShardStore(spark, scratch.new_path(spark, "store"))
     first = store.append(spark.range(3).toDF("x"))
