@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmesh import scratch
+
 #: Patterns and lengths by which a run's question is found, and what is told if there is none.
 ASKED = r'original query: "([^"]+)"'
 NOT_THIS = "answer the prompt"
@@ -94,15 +98,57 @@ def shown(text: Column, most: int = SHOWN) -> Column:
 
 
 def call_tree(spark: SparkSession, calls: DataFrame) -> DataFrame:
-    """calls (call_id, parent_call_id) with the depth and root of each, by a recursive query; a root has no parent."""
-    calls.createOrReplaceTempView("quillmesh_calls")
-    return spark.sql(
-        """WITH RECURSIVE tree(call_id, parent_call_id, root_call_id, depth) AS (
-             SELECT call_id, parent_call_id, call_id, 0 FROM quillmesh_calls WHERE parent_call_id IS NULL
-             UNION ALL
-             SELECT c.call_id, c.parent_call_id, t.root_call_id, t.depth + 1 FROM quillmesh_calls c JOIN tree t ON c.parent_call_id = t.call_id)
-           SELECT * FROM tree"""
-    )
+    """calls (call_id, parent_call_id) with the depth and root of each; a root has no parent, and what no root leads to isn't
+    in the tree. Where an id is repeated, a call has a row for each way up."""
+    known = scratch.table(calls.select("call_id", "parent_call_id"), "calls")
+    roots = known.filter("parent_call_id IS NULL").withColumns({"root_call_id": F.col("call_id"), "depth": F.lit(0)})
+    below = known.filter("parent_call_id IS NOT NULL")
+    repeated = known.filter("call_id IS NOT NULL").groupBy("call_id").count().filter("count > 1")
+    try:
+        found = _by_doubling(roots, below) if repeated.isEmpty() else _by_levels(roots, below)
+    finally:
+        scratch.free(known)
+    tree = spark.read.schema(found[0].schema).parquet(*[level.scratch_path for level in found])
+    return tree.select("call_id", "parent_call_id", "root_call_id", "depth")
+
+
+def _by_doubling(roots: DataFrame, below: DataFrame) -> list[DataFrame]:
+    """Ways of 1, 2, 4 … steps up are joined to all levels found so far: the number of jobs grows with the depth's logarithm.
+    With unique ids a call has at most one such way, and one in a circle never meets a root."""
+    found, steps = [scratch.table(roots, "tree")], 1
+    ways = below.withColumn("above", F.col("parent_call_id"))
+    while not ways.isEmpty():
+        tops = reduce(DataFrame.unionByName, found).select(F.col("call_id").alias("above"), "root_call_id", (F.col("depth") + steps).alias("depth"))
+        level = scratch.table(ways.join(tops, "above").select(*found[0].columns), "tree")
+        if level.isEmpty():
+            scratch.free(level)
+            break
+        found.append(level)
+        further = ways.select(F.col("call_id").alias("above"), F.col("above").alias("further"))
+        wider = scratch.table(ways.join(further, "above").select("call_id", "parent_call_id", F.col("further").alias("above")), "ways")
+        scratch.free(ways)
+        ways, steps = wider, 2 * steps
+    scratch.free(ways)
+    return found
+
+
+def _by_levels(roots: DataFrame, below: DataFrame) -> list[DataFrame]:
+    """One level after the other. Each row carries an id of its way, that of the last level whose depth is a power of two: who
+    meets it again goes in a circle below a root and would never end."""
+    found = [scratch.table(roots.withColumn("mark", F.col("call_id")), "tree")]
+    while True:
+        depth = len(found) - 1
+        mark = "call_id" if depth & (depth - 1) == 0 else "mark"
+        tops = found[-1].select(F.col("call_id").alias("parent_call_id"), "root_call_id", F.lit(depth + 1).alias("depth"), F.col(mark).alias("mark"))
+        level = scratch.table(below.join(tops, "parent_call_id").select(*found[0].columns), "tree")
+        circle = level.filter("call_id = mark").select("call_id").first()
+        if circle:
+            scratch.free(level, *found)
+            raise ValueError(f"call {circle[0]!r} is among its own parents, below a root")
+        if level.isEmpty():
+            scratch.free(level)
+            return found
+        found.append(level)
 
 
 def tree_rollup(tree: DataFrame, calls: DataFrame, *values: str) -> DataFrame:

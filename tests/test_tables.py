@@ -1,4 +1,5 @@
 import datetime
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -9,7 +10,7 @@ from quillmesh import scratch
 from quillmesh.functions import messages as M
 from quillmesh.functions import scoring as Q
 from quillmesh.operators import chunking, usage
-from quillmesh.operators.trajectory import answer_text
+from quillmesh.operators.trajectory import answer_text, call_tree
 from quillmesh.sources import context, logs
 from quillmesh.streaming import logs as stream
 
@@ -108,3 +109,58 @@ def test_scratch(spark):
     assert scratch.table(spark.range(0).toDF("x"), "t").count() == 0
     located = scratch.with_row_locator(t.filter("x > 0").withColumn("y", F.lit(1)).groupBy("x").agg(F.max("y").alias("y")))
     assert located.select("__qm_row").distinct().count() == 2
+
+
+def _tree(spark, rows):
+    got = call_tree(spark, spark.createDataFrame(rows, "call_id bigint, parent_call_id bigint"))
+    assert got.columns == ["call_id", "parent_call_id", "root_call_id", "depth"]
+    return sorted(map(repr, map(tuple, got.collect())))
+
+
+def _tree_sql(rows):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE c (call_id BIGINT, parent_call_id BIGINT)")
+    con.executemany("INSERT INTO c VALUES (?, ?)", rows)
+    sql = """WITH RECURSIVE t(call_id, parent_call_id, root_call_id, depth) AS (SELECT call_id, parent_call_id, call_id, 0 FROM c WHERE parent_call_id IS NULL
+        UNION ALL SELECT c.call_id, c.parent_call_id, t.root_call_id, t.depth + 1 FROM c JOIN t ON c.parent_call_id = t.call_id) FROM t"""
+    return sorted(map(repr, con.sql(sql).fetchall()))
+
+
+def test_call_tree_beyond_a_million_calls(spark):
+    calls = spark.range(1_100_000).selectExpr("id AS call_id", "CASE WHEN id % 2 = 1 THEN id - 1 END AS parent_call_id")
+    got = call_tree(spark, calls).groupBy("depth").agg(F.count("*").alias("n"), F.sum("root_call_id").alias("roots"))
+    assert sorted(map(tuple, got.collect())) == [(0, 550_000, 550_000 * 549_999), (1, 550_000, 550_000 * 549_999)]
+
+
+def test_call_tree_of_a_long_chain(spark):
+    got = _tree(spark, [(0, None)] + [(i, i - 1) for i in range(1, 700)])
+    assert got == sorted(repr((i, i - 1 if i else None, 0, i)) for i in range(700))
+
+
+@pytest.mark.parametrize(
+    "rows",
+    [
+        [(1, None)],
+        [(1, 2), (2, 1), (3, 3)],  # circles alone
+        [(1, None), (2, 1), (3, 2), (4, 2), (5, 4), (6, 99), (7, 6), (8, 9), (9, 8), (10, 9), (None, 3), (None, None), (None, 77), (11, None)],
+        [(1, None), (1, None), (2, 1), (2, 1), (3, 2), (4, 3), (4, 1), (5, 4), (6, 6), (6, 6), (7, 6), (None, 5)],  # repeated ids
+    ],
+)
+def test_call_tree_equals_sql(spark, rows):
+    assert _tree(spark, rows) == _tree_sql(rows)
+
+
+def test_call_tree_of_random_parents(spark):
+    draw = random.Random(3)
+    once = [(i, draw.choice([None, i - 1, i - 1, draw.randrange(-3, 60)])) for i in range(60)]
+    twice = [(draw.randrange(i - i % 2, i + 1), draw.choice([None, i - 2, i - 3])) for i in range(24)]  # parents come before
+    for rows in (once, twice):
+        assert _tree(spark, rows) == _tree_sql(rows)
+
+
+@pytest.mark.parametrize("rows", [[(1, None), (1, 1)], [(0, None), (1, 0), (2, 1), (1, 3), (3, 2), (4, 3)]])
+def test_call_tree_below_a_circle(spark, rows):
+    with pytest.raises(ValueError, match="among its own parents"):
+        _tree(spark, rows)
